@@ -10,13 +10,13 @@ from tickwell.config import CONTRACT_9, NUMBER_FIELDS
 # Accepted text forms.
 ISO_PREFIX = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
 PRICE_TEXT = r"^[0-9]+\.?[0-9]*$"
+OBJECT_START = r"^\s*\{"
 MALFORMED = "malformed JSON"
 
 
 def document(value: Column) -> Column:
     """Parsed message; NULL for malformed text and for JSON that is not an object."""
-    parsed = F.try_parse_json(value)
-    return F.when(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), parsed)
+    return F.when(value.rlike(OBJECT_START), F.try_parse_json(value))
 
 
 def field(doc: Column, name: str) -> Column:
@@ -31,80 +31,97 @@ def field_number(doc: Column, name: str) -> Column:
     return F.try_variant_get(doc, f"$.{name}", "double")
 
 
-def kind(value: Column) -> Column:
-    """JSON type of a variant: number, string, boolean, null, object, array; NULL if absent."""
-    name = F.schema_of_variant(value)
+def kind_of_schema(name: Column) -> Column:
     return (
-        F.when(name.isNull(), None)
-        .when(name == "STRING", "string")
+        F.when(name == "STRING", "string")
         .when(name == "BOOLEAN", "boolean")
         .when(name == "VOID", "null")
         .when(name.startswith("OBJECT"), "object")
         .when(name.startswith("ARRAY"), "array")
-        .otherwise("number")
+        .when(name.isNotNull(), "number")
     )
 
 
+def kinds(doc: Column, names: tuple[str, ...] = CONTRACT_9) -> Column:
+    """JSON types of the named fields, in order; NULL for an absent one.
+
+    The lambda binds each schema text once. Written without it, the comparison chain would
+    repeat the lookup for every branch and for every later use.
+    """
+    schemas = F.array(*[F.schema_of_variant(field(doc, n)) for n in names])
+    return F.transform(schemas, kind_of_schema)
+
+
+def kind(value: Column) -> Column:
+    """JSON type of one variant; NULL if absent."""
+    return F.transform(F.array(F.schema_of_variant(value)), kind_of_schema)[0]
+
+
 def expected_kind(name: str) -> str:
     return "number" if name in NUMBER_FIELDS else "string"
 
 
-def kinds(doc: Column, names: tuple[str, ...] = CONTRACT_9) -> Column:
-    """The kinds of the named fields as one struct, so each is worked out once."""
-    return F.struct(*[kind(field(doc, n)).alias(n) for n in names])
+def kind_at(found: str, name: str) -> Column:
+    return F.col(found)[CONTRACT_9.index(name)]
+
+
+WANTED = [expected_kind(n) for n in CONTRACT_9]
+
+
+def literals(values: tuple[str, ...] | list[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values])
 
 
 def valid_field_count(found: str) -> Column:
-    hits = [
-        F.when(F.col(f"{found}.{n}") == expected_kind(n), 1).otherwise(0) for n in CONTRACT_9
-    ]
-    total = hits[0]
-    for hit in hits[1:]:
-        total = total + hit
-    return total
-
-
-def message_issues(doc: Column, found: str, symbols: tuple[str, ...]) -> Column:
-    """Every issue of a parsed message, field order first, then value checks."""
-    problems = []
-    for name in CONTRACT_9:
-        seen = F.col(f"{found}.{name}")
-        wanted = expected_kind(name)
-        problems.append(
-            F.when(seen.isNull(), F.lit(f"missing field: {name}")).when(
-                seen != wanted,
-                F.concat(F.lit(f"field {name}: type "), seen, F.lit(f", expected {wanted}")),
-            )
-        )
-    symbol = F.coalesce(field_text(doc, "symbol"), F.lit("null"))
-    problems.append(
+    hits = F.zip_with(found, literals(WANTED), lambda seen, wanted: seen == wanted)
+    return F.size(F.filter(hits, lambda hit: hit))
+
+
+def contract_problem(seen: Column, at: Column) -> Column:
+    name, wanted = literals(CONTRACT_9)[at], literals(WANTED)[at]
+    return F.when(seen.isNull(), F.concat(F.lit("missing field: "), name)).when(
+        seen != wanted,
+        F.concat(
+            F.lit("field "), name, F.lit(": type "), seen, F.lit(", expected "), wanted
+        ),
+    )
+
+
+def message_issues(found: str, symbols: tuple[str, ...]) -> Column:
+    """Every issue of a parsed message, field order first, then value checks.
+
+    Reads the columns `kinds`, `symbol`, `price`, `stamp` prepared by the caller.
+    """
+    symbol = F.coalesce("symbol", F.lit("null"))
+    stamp = F.coalesce("stamp", F.lit("null"))
+    values = F.array(
         F.when(
-            F.col(f"{found}.symbol").isNotNull() & ~symbol.isin(*symbols),
+            kind_at(found, "symbol").isNotNull() & ~symbol.isin(*symbols),
             F.concat(F.lit("symbol not recognised: "), symbol),
-        )
-    )
-    price = field_number(doc, "current_price")
-    problems.append(
+        ),
         F.when(
-            (F.col(f"{found}.current_price") == "number") & (price <= 0),
-            F.concat(F.lit("price not positive: "), price.cast("string")),
-        )
-    )
-    stamp = F.coalesce(field_text(doc, "timestamp"), F.lit("null"))
-    problems.append(
+            (kind_at(found, "current_price") == "number") & (F.col("price") <= 0),
+            F.concat(F.lit("price not positive: "), F.col("price").cast("string")),
+        ),
         F.when(
-            F.col(f"{found}.timestamp").isNotNull() & ~stamp.rlike(ISO_PREFIX),
+            kind_at(found, "timestamp").isNotNull() & ~stamp.rlike(ISO_PREFIX),
             F.concat(F.lit("timestamp not ISO: "), stamp),
-        )
+        ),
     )
-    return F.array_compact(F.array(*problems))
+    return F.array_compact(F.concat(F.transform(found, contract_problem), values))
 
 
-def truthy(doc: Column, name: str) -> Column:
-    """Present and neither null nor false."""
-    seen = kind(field(doc, name))
-    switched_off = (seen == "boolean") & (field_text(doc, name) == "false")
-    return F.coalesce(seen.isNotNull() & (seen != "null") & ~switched_off, F.lit(False))
+def present_flags(doc: Column, names: tuple[str, ...]) -> Column:
+    """For each field whether it is there and neither null nor false."""
+
+    def switched_on(value: Column) -> Column:
+        schema = F.schema_of_variant(value)
+        usable = F.when(schema == "VOID", False).when(
+            schema == "BOOLEAN", F.try_variant_get(value, "$", "boolean")
+        )
+        return F.coalesce(usable.otherwise(value.isNotNull()), F.lit(False))
+
+    return F.transform(F.array(*[field(doc, n) for n in names]), switched_on)
 
 
 def scan_text(value: Column, name: str, quoted: bool) -> Column:

@@ -19,53 +19,52 @@ def first_mention(text: Column, symbols: tuple[str, ...], template: str = "{}")
     )
 
 
-def resolution(universe: Universe, metadata: str = "metadata", body: str = "body") -> Column:
-    """Struct `symbol, debug_source, debug_error` from request name, URL, then any text.
+def symbol_steps(
+    universe: Universe, metadata: str = "metadata", body: str = "body"
+) -> dict[str, Column]:
+    """The symbol as seen by each step: request name, URL, then any text of the event."""
+    name, url = F.col(f"{metadata}.name"), F.col(f"{metadata}.url")
+    return {
+        "_by_name": F.coalesce(
+            *[F.when(name == request_name(s), F.lit(s)) for s in universe.symbols]
+        ),
+        "_by_url": first_mention(url, universe.symbols, "symbol={}"),
+        "_by_text": first_mention(F.concat_ws(" ", name, url, F.col(body)), universe.symbols),
+    }
 
-    `debug_error` keeps the message of the last step that was tried without success.
-    """
+
+def resolution(metadata: str = "metadata") -> dict[str, Column]:
+    """Symbol, the step that found it, and the message of the last step that failed."""
     name, url = F.col(f"{metadata}.name"), F.col(f"{metadata}.url")
     described = F.col(metadata).isNotNull()
-    by_name = F.coalesce(
-        *[F.when(name == request_name(s), F.lit(s)) for s in universe.symbols]
+    by_name, by_url, by_text = F.col("_by_name"), F.col("_by_url"), F.col("_by_text")
+    symbol = F.coalesce(by_name, by_url, by_text)
+    url_error = F.coalesce(
+        F.concat(F.lit("url_no_symbol_found: "), url), F.lit("no_url_in_metadata")
     )
-    by_url = F.when(described, first_mention(url, universe.symbols, "symbol={}"))
-    everything = F.concat_ws(" ", name, url, F.col(body))
-    by_text = first_mention(everything, universe.symbols)
-
-    name_error = F.when(
-        described & by_name.isNull(),
-        F.when(name.isNull(), "no_metadata_or_name").otherwise(
-            F.concat(F.lit("unknown_request_name: "), name)
-        ),
+    name_error = F.coalesce(
+        F.concat(F.lit("unknown_request_name: "), name), F.lit("no_metadata_or_name")
     )
-    url_error = F.when(
-        described & by_name.isNull() & by_url.isNull(),
-        F.when(url.isNull(), "no_url_in_metadata").otherwise(
-            F.concat(F.lit("url_no_symbol_found: "), url)
-        ),
-    )
-    text_error = F.when(
-        F.coalesce(by_name, by_url, by_text).isNull(), "no_symbol_pattern_found"
-    )
-    return F.struct(
-        F.coalesce(by_name, by_url, by_text).alias("symbol"),
-        F.when(by_name.isNotNull(), "metadata_name")
+    return {
+        "symbol": symbol,
+        "debug_source": F.when(by_name.isNotNull(), "metadata_name")
         .when(by_url.isNotNull(), "url_extraction")
-        .when(by_text.isNotNull(), "pattern_matching")
-        .alias("debug_source"),
-        F.coalesce(text_error, url_error, name_error).alias("debug_error"),
-    )
+        .when(by_text.isNotNull(), "pattern_matching"),
+        "debug_error": F.when(symbol.isNull(), "no_symbol_pattern_found")
+        .when(described & by_name.isNull() & by_url.isNull(), url_error)
+        .when(described & by_name.isNull(), name_error),
+    }
+
 
+def vendor_body(body: str = "body") -> Column:
+    """The vendor fields as text: a quoted number converts later, other text gives NULL."""
+    return F.from_json(body, VENDOR_BODY.replace("double", "string"))
 
-def vendor_fields(body: str = "body") -> dict[str, Column]:
-    """Vendor letters of the JSON body, renamed and converted to numbers.
 
-    Read as text first: a quoted number converts, text that is no number gives NULL.
-    """
-    as_text = F.from_json(body, VENDOR_BODY.replace("double", "string"))
+def vendor_fields(parsed: str) -> dict[str, Column]:
+    """Vendor letters renamed and converted to numbers."""
     return {
-        full: as_text[short].try_cast("double")
+        full: F.col(f"{parsed}.{short}").try_cast("double")
         for short, full in VENDOR_NAMES.items()
     }
 

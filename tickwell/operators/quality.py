@@ -14,17 +14,22 @@ from tickwell.config import (
     QUOTE_FIELDS_10,
 )
 from tickwell.functions import messages as M
+from tickwell.operators.metering import metered
 
 ORDER = ("partition", "offset")
 
 
-def parse_quotes(topic: DataFrame, schema: str = QUOTE_FIELDS_10) -> DataFrame:
+def parse_quotes(
+    topic: DataFrame, schema: str = QUOTE_FIELDS_10, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Key and value as text, the value decoded with a fixed schema and flattened."""
-    return topic.select(
+    parsed = topic.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("timestamp").alias("kafka_timestamp"),
+        *keep,
         F.from_json(F.col("value").cast("string"), schema).alias("data"),
-    ).select("kafka_key", "kafka_timestamp", "data.*")
+    ).select("kafka_key", "kafka_timestamp", *keep, "data.*")
+    return metered(parsed, "parse_quotes", priced=F.col("current_price").isNotNull())
 
 
 def parse_rate(parsed: DataFrame) -> DataFrame:
@@ -39,10 +44,16 @@ def parse_rate(parsed: DataFrame) -> DataFrame:
 def check_messages(topic: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
     """One verdict per message; a malformed one has a single issue and no field count."""
     text = topic.withColumn("value", F.col("value").cast("string"))
-    opened = text.withColumn("doc", M.document(F.col("value"))).withColumn(
-        "kinds", M.kinds(F.col("doc"))
+    doc = F.col("doc")
+    opened = text.withColumn("doc", M.document(F.col("value"))).withColumns(
+        {
+            "kinds": M.kinds(doc),
+            "symbol": M.field_text(doc, "symbol"),
+            "price": M.field_number(doc, "current_price"),
+            "stamp": M.field_text(doc, "timestamp"),
+        }
     )
-    parsed = F.col("doc").isNotNull()
+    parsed = doc.isNotNull()
     judged = opened.select(
         F.col("key").cast("string").alias("key"),
         "partition",
@@ -52,12 +63,13 @@ def check_messages(topic: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
         F.when(parsed, F.length("value")).alias("size_chars"),
         F.when(parsed, M.valid_field_count("kinds")).alias("valid_fields"),
         F.when(parsed, F.lit(len(CONTRACT_9))).alias("total_expected"),
-        F.when(parsed, M.message_issues(F.col("doc"), "kinds", symbols))
+        F.when(parsed, M.message_issues("kinds", symbols))
         .otherwise(F.array(F.lit(M.MALFORMED)))
         .alias("issues"),
     )
     fine = (F.size("issues") == 0) & (F.col("valid_fields") >= 3)
-    return judged.withColumn("is_valid", F.coalesce(fine, F.lit(False)))
+    verdicts = judged.withColumn("is_valid", F.coalesce(fine, F.lit(False)))
+    return metered(verdicts, "check_messages", valid=F.col("is_valid"))
 
 
 def first_messages(topic: DataFrame, n: int) -> DataFrame:
@@ -116,15 +128,16 @@ def sample_view(checks: DataFrame, n: int = 3, issues: int = 2) -> DataFrame:
 def field_commonality(topic: DataFrame) -> DataFrame:
     """How many parsed messages hold each field, and whether all of them do."""
     keys = F.array_distinct(F.json_object_keys(F.col("value").cast("string")))
-    parsed = M.document(F.col("value").cast("string")).isNotNull()
-    per_message = topic.where(parsed).select(keys.alias("keys"))
-    # A marker key counts the messages in the same aggregation as the fields.
-    marked = per_message.select(
-        F.explode(F.array_append("keys", F.lit(None).cast("string"))).alias("field")
+    # Position 0 is a marker per parsed message, counted in the same aggregation as the
+    # fields; malformed text has no position at all.
+    marked = topic.select(
+        F.posexplode_outer(F.array_prepend(keys, F.lit(None).cast("string"))).alias("at", "field")
+    )
+    counts = marked.groupBy("field", (F.col("at") == 0).alias("marker")).agg(
+        F.count("*").alias("messages")
     )
-    counts = marked.groupBy("field").agg(F.count("*").alias("messages"))
-    total = counts.where(F.col("field").isNull()).select(F.col("messages").alias("of"))
-    return counts.where(F.col("field").isNotNull()).select(
+    total = counts.where("marker").select("messages")
+    return counts.where(~F.col("marker")).select(
         "field", "messages", (F.col("messages") == total.scalar()).alias("is_common")
     )
 
@@ -154,16 +167,11 @@ def non_numeric_fields(topic: DataFrame, first: int = 5) -> DataFrame:
     """Fields of the first messages that should be numbers and are not."""
     early = topic.orderBy(*ORDER).limit(first)
     doc = M.document(F.col("value").cast("string"))
-    named = early.withColumn("doc", doc).select(
-        *ORDER,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(n).alias("field"), M.kind(M.field(F.col("doc"), n)).alias("kind"))
-                    for n in NUMBER_FIELDS
-                ]
-            )
-        ),
+    names = M.literals(NUMBER_FIELDS)
+    named = (
+        early.withColumn("doc", doc)
+        .select(*ORDER, F.arrays_zip(names.alias("field"), M.kinds(F.col("doc"), NUMBER_FIELDS).alias("kind")).alias("seen"))
+        .select(*ORDER, F.inline("seen"))
     )
     return named.where(F.col("kind").isNotNull() & (F.col("kind") != "number"))
 
@@ -195,11 +203,12 @@ def compatibility(topic: DataFrame, checks: DataFrame) -> DataFrame:
 
 def field_presence(topic: DataFrame) -> DataFrame:
     """Present and missing counts of the required and optional fields."""
-    doc = topic.select(M.document(F.col("value").cast("string")).alias("doc"))
     names = REQUIRED_FIELDS + OPTIONAL_FIELDS
-    counted = doc.agg(
+    doc = topic.select(M.document(F.col("value").cast("string")).alias("doc"))
+    flags = doc.select(M.present_flags(F.col("doc"), names).alias("flags"))
+    counted = flags.agg(
         F.count("*").alias("_all"),
-        *[F.count_if(M.truthy(F.col("doc"), n)).alias(n) for n in names],
+        *[F.count_if(F.col("flags")[i]).alias(n) for i, n in enumerate(names)],
     )
     entries = [
         F.struct(
@@ -215,22 +224,29 @@ def field_presence(topic: DataFrame) -> DataFrame:
 
 def critical_checks(topic: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
     """Per-message checks of the three critical fields, on types and on raw text."""
-    doc = topic.select(*ORDER, M.document(F.col("value").cast("string")).alias("doc"))
     d = F.col("doc")
-    symbol, price, stamp = (M.field_text(d, n) for n in REQUIRED_FIELDS)
-    number = M.field_number(d, "current_price")
+    read = (
+        topic.select(*ORDER, M.document(F.col("value").cast("string")).alias("doc"))
+        .select(
+            *ORDER,
+            M.kinds(d, ("symbol", "current_price")).alias("kinds"),
+            M.field_number(d, "current_price").alias("number"),
+            *[M.field_text(d, n).alias(n) for n in REQUIRED_FIELDS],
+        )
+    )
 
     def flag(condition: Column) -> Column:
         return F.coalesce(condition, F.lit(False))
 
-    return doc.select(
+    price, stamp = F.col("current_price"), F.col("timestamp")
+    return read.select(
         *ORDER,
-        flag(M.kind(M.field(d, "symbol")) == "string").alias("symbol_is_string"),
-        flag((M.kind(M.field(d, "current_price")) == "number") & (number > 0)).alias(
+        flag(F.col("kinds")[0] == "string").alias("symbol_is_string"),
+        flag((F.col("kinds")[1] == "number") & (F.col("number") > 0)).alias(
             "price_is_positive_number"
         ),
         flag(stamp.rlike(M.ISO_PREFIX)).alias("timestamp_is_iso"),
-        flag(symbol.isin(*symbols)).alias("symbol_known"),
+        flag(F.col("symbol").isin(*symbols)).alias("symbol_known"),
         flag(price.rlike(M.PRICE_TEXT) & (price.try_cast("double") > 0)).alias("price_text_ok"),
         flag(F.length(stamp) > 0).alias("timestamp_given"),
     )
@@ -238,22 +254,22 @@ def critical_checks(topic: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
 
 def valid_structure(topic: DataFrame) -> DataFrame:
     """Whether every message is JSON and has a symbol and a price."""
-    doc = topic.select(
+    flags = M.present_flags(F.col("doc"), ("symbol", "current_price"))
+    judged = topic.select(
         F.try_parse_json(F.col("value").cast("string")).isNotNull().alias("json"),
         M.document(F.col("value").cast("string")).alias("doc"),
-    )
-    complete = M.truthy(F.col("doc"), "symbol") & M.truthy(F.col("doc"), "current_price")
-    return doc.agg(
+    ).select("json", flags.alias("flags"))
+    return judged.agg(
         F.coalesce(F.bool_and("json"), F.lit(True)).alias("valid_json"),
-        F.coalesce(F.bool_and(complete), F.lit(True)).alias("valid_structure"),
+        F.coalesce(F.bool_and(F.col("flags")[0] & F.col("flags")[1]), F.lit(True)).alias(
+            "valid_structure"
+        ),
     )
 
 
 def field_types(topic: DataFrame) -> DataFrame:
     """Every field that occurs, the JSON types it has, and how often."""
-    doc = topic.select(M.document(F.col("value").cast("string")).alias("doc")).where(
-        F.col("doc").isNotNull()
-    )
+    doc = topic.select(M.document(F.col("value").cast("string")).alias("doc"))
     spark = topic.sparkSession
     entries = doc.lateralJoin(spark.tvf.variant_explode(F.col("doc").outer()))
     return (
@@ -265,19 +281,21 @@ def field_types(topic: DataFrame) -> DataFrame:
 
 def vendor_reply(raw: DataFrame, body: str = "body") -> DataFrame:
     """Size, field count and field types of raw vendor replies, and whether `c` is a number."""
-    doc = raw.select(M.document(F.col(body)).alias("doc"), F.length(body).alias("size"), body)
-    d = F.col("doc")
-    letters = list(VENDOR_NAMES)
-    return doc.agg(
+    letters = tuple(VENDOR_NAMES)
+    read = raw.select(M.document(F.col(body)).alias("doc"), body).select(
+        F.col("doc").isNotNull().alias("json"),
+        F.length(body).alias("size"),
+        F.size(F.json_object_keys(body)).alias("fields"),
+        M.kinds(F.col("doc"), letters).alias("kinds"),
+    )
+    numbers = [F.count_if(F.col("kinds")[i] == "number") for i in range(len(letters))]
+    return read.agg(
         F.count("*").alias("replies"),
-        F.count_if(d.isNotNull()).alias("json_replies"),
-        F.sum(F.size(F.json_object_keys(body))).alias("fields"),
+        F.count_if("json").alias("json_replies"),
+        F.sum("fields").alias("fields"),
         F.max("size").alias("largest"),
-        F.count_if(M.kind(M.field(d, "c")) == "number").alias("with_numeric_c"),
-        *[
-            F.count_if(M.kind(M.field(d, n)) == "number").alias(f"number_{n}")
-            for n in letters
-        ],
+        numbers[letters.index("c")].alias("with_numeric_c"),
+        *[count.alias(f"number_{n}") for n, count in zip(letters, numbers)],
     )
 
 

@@ -7,9 +7,11 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from tickwell.config import MODEL_FEATURES
 from tickwell.functions import logs
-from tickwell.operators import portfolio, quality, windows
+from tickwell.operators import drift, isolation, models, portfolio, quality, windows
 from tickwell.operators.correlation import correlation, time_matrix
 from tickwell.operators.returns import (
     TIME,
@@ -19,13 +21,16 @@ from tickwell.operators.returns import (
     tracking_error_time_aligned,
 )
 from tickwell.operators.tail_risk import var_cvar
-from tickwell.plans import ingest
+from tickwell.plans import ingest, learning
 from tickwell.plans.risk import risk_metrics
 from tickwell.sources import history, tables
+from tickwell.sources.durable import cut, scratch
 from tickwell.sources.tables import EVENT_UNIVERSE as U
+from tickwell.streaming import jobs
+from tickwell.streaming.returns import return_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
-NOW = datetime(2024, 1, 30)
+NOW, MIDDLE = datetime(2024, 1, 30), datetime(2024, 1, 16)
 
 
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,6 +323,131 @@ def var_backtest(spark, folder):
     return portfolio.var_backtest(returns(ticks(spark, folder)))
 
 
+def feature_drift(spark, folder):
+    rows = features(spark, folder, "1 day")
+    return drift.population_stability(rows, MODEL_FEATURES, F.col("window_start") >= F.lit(MIDDLE))
+
+
+def temporal_folds(spark, folder):
+    return drift.fold_table(features(spark, folder, "1 day"), 4)
+
+
+# --- models -------------------------------------------------------------------------------
+
+
+def feature_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly features, stored: every model below reads them more than once."""
+    return cut(features(spark, folder, "1 hour"))
+
+
+def scope() -> models.PerSymbol:
+    return models.PerSymbol(U.symbols)
+
+
+def anomaly_counts(spark, folder):
+    rows = models.training_rows(feature_table(spark, folder))
+    forests = cut(isolation.grow_forests(rows, MODEL_FEATURES))
+    scored = cut(isolation.anomaly_scores(rows, forests, MODEL_FEATURES))
+    flagged = isolation.flag_anomalies(scored, isolation.cutoffs(scored))
+    return isolation.anomaly_counts(flagged)
+
+
+def direction_accuracy(spark, folder):
+    rows = models.training_rows(feature_table(spark, folder))
+    fitted = models.fit_direction(rows, MODEL_FEATURES, scope())
+    return models.direction_accuracy(rows, fitted)
+
+
+def direction_accuracy_pooled(spark, folder):
+    rows = models.training_rows(feature_table(spark, folder), target="next")
+    fitted = models.fit_direction(rows, MODEL_FEATURES, models.Pooled())
+    return models.direction_accuracy(rows, fitted)
+
+
+def feature_importance(spark, folder):
+    rows = models.training_rows(feature_table(spark, folder))
+    fitted = models.fit_direction(rows, MODEL_FEATURES, scope())
+    return models.feature_importance(rows, fitted, MODEL_FEATURES)
+
+
+def volatility_r2(spark, folder):
+    rows = models.training_rows(feature_table(spark, folder))
+    return models.volatility_r2(rows, models.fit_volatility(rows, MODEL_FEATURES, scope()))
+
+
+def regime_counts(spark, folder):
+    rows = feature_table(spark, folder)
+    return models.regime_counts(rows, models.fit_regimes(rows, U.symbols))
+
+
+def current_regime(spark, folder):
+    rows = feature_table(spark, folder)
+    return models.current_regime(rows, models.fit_regimes(rows, U.symbols))
+
+
+def predictions(spark, folder):
+    rows = feature_table(spark, folder)
+    return learning.predict(rows, learning.train(rows, scope(), U.symbols))
+
+
+def temporal_cross_validation(spark, folder):
+    return learning.cross_validate(feature_table(spark, folder), scope())
+
+
+def accuracy_drift(spark, folder):
+    rows = models.training_rows(feature_table(spark, folder))
+    fitted = models.fit_direction(rows, MODEL_FEATURES, scope())
+    scored = models.apply_models(rows, fitted)
+    trained = models.direction_accuracy(rows, fitted)
+    return drift.accuracy_by_window(scored, trained, "7 days")
+
+
+# --- streams ------------------------------------------------------------------------------
+
+
+def finished(query: StreamingQuery) -> None:
+    query.awaitTermination()
+
+
+def stream_window_features(spark, folder):
+    quotes = windows.valid_quotes(
+        tables.as_quotes(tables.event_stream(spark, folder)), U.symbols
+    ).withColumnRenamed("event_time", "processing_time")
+    path, marks = scratch(spark, "features"), scratch(spark, "marks")
+    finished(jobs.append_batches(jobs.feature_stream(quotes), path, marks, every=None))
+    table = spark.read.parquet(path).drop("batch_id")
+    bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return rounded(table.withColumns(bounds))
+
+
+def stream_returns(spark, folder):
+    events = tables.event_stream(spark, folder)
+    prices = windows.valid_quotes(tables.as_prices(events), U.symbols)
+    path, state = scratch(spark, "returns"), scratch(spark, "last")
+    finished(return_stream(prices, path, state, scratch(spark, "marks")))
+    return spark.read.parquet(path).select(
+        "event_id",
+        "symbol",
+        F.col(TIME).cast("timestamp_ntz").alias(TIME),
+        F.round("returns", 6).alias("returns"),
+    )
+
+
+def stream_ingest(spark, folder):
+    raw = tables.as_raw_quotes(tables.as_quotes(tables.event_stream(spark, folder)))
+    topic, rejects = scratch(spark, "topic"), scratch(spark, "rejects")
+    finished(jobs.ingest_stream(raw, U, topic, rejects, scratch(spark, "marks"), every=None))
+    accepted = spark.read.json(topic).select(
+        F.get_json_object("value", "$.symbol").alias("symbol"), F.lit("valid").alias("route")
+    )
+    refused = spark.read.schema("symbol string").json(rejects).select(
+        "symbol", F.lit("rejected").alias("route")
+    )
+    return accepted.unionByName(refused).groupBy("symbol", "route").agg(
+        F.count("*").alias("quotes")
+    )
+
+
 # --- logs ---------------------------------------------------------------------------------
 
 
@@ -330,7 +460,7 @@ def log_line_classes(spark, folder):
 
 
 def log_last_errors(spark, folder):
-    return logs.last_matching(tables.log_lines(spark, folder), "error", 3, ("doc_id", "line_no"))
+    return logs.last_matching(tables.log_lines(spark, folder), "th", 3, ("doc_id", "line_no"))
 
 
 QUERIES: dict[str, Query] = {
@@ -382,6 +512,21 @@ QUERIES: dict[str, Query] = {
     "portfolio_var": portfolio_var,
     "rolling_correlation": rolling_correlation,
     "var_backtest": var_backtest,
+    "feature_drift": feature_drift,
+    "temporal_folds": temporal_folds,
+    "anomaly_counts": anomaly_counts,
+    "direction_accuracy": direction_accuracy,
+    "direction_accuracy_pooled": direction_accuracy_pooled,
+    "feature_importance": feature_importance,
+    "volatility_r2": volatility_r2,
+    "regime_counts": regime_counts,
+    "current_regime": current_regime,
+    "predictions": predictions,
+    "temporal_cross_validation": temporal_cross_validation,
+    "accuracy_drift": accuracy_drift,
+    "stream_window_features": stream_window_features,
+    "stream_returns": stream_returns,
+    "stream_ingest": stream_ingest,
     "log_pattern_counts": log_pattern_counts,
     "log_line_classes": log_line_classes,
     "log_last_errors": log_last_errors,

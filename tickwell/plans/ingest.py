@@ -10,8 +10,11 @@ from tickwell.functions.quotes import (
     intraday_fields,
     rejection_reasons,
     resolution,
+    symbol_steps,
+    vendor_body,
     vendor_fields,
 )
+from tickwell.operators.metering import metered
 
 # Constants written into every quote.
 DATA_SOURCE, DATA_TYPE = "finnhub", "real_time_quote"
@@ -23,21 +26,17 @@ def normalise(raw: DataFrame, universe: Universe, time: str = "received_at") ->
 
     `raw` needs `metadata struct<name,url>`, `body` (JSON text) and a receive time.
     """
+    # Every step reads the columns of the one before, so text is searched and parsed once.
+    steps = symbol_steps(universe)
     resolved = (
-        raw.withColumns({"_found": resolution(universe), **vendor_fields()})
-        .withColumns(
-            {
-                "symbol": F.col("_found.symbol"),
-                "debug_source": F.col("_found.debug_source"),
-                "debug_error": F.col("_found.debug_error"),
-            }
-        )
-        .drop("_found")
+        raw.withColumns({**steps, "_vendor": vendor_body()})
+        .withColumns({**resolution(), **vendor_fields("_vendor")})
+        .drop("_vendor", *steps)
     )
     judged = resolved.withColumn("error_type", rejection_reasons())
     valid = F.size("error_type") == 0
     accepted_tags = F.array(F.lit("has_symbol"), F.lit("processed"), F.lit("valid_quote"))
-    return judged.withColumns(
+    complete = judged.withColumns(
         {
             **intraday_fields(),
             "is_valid": valid,
@@ -50,6 +49,7 @@ def normalise(raw: DataFrame, universe: Universe, time: str = "received_at") ->
             "tags": F.when(valid, accepted_tags).otherwise(F.array(F.lit("debug_failed"))),
         }
     )
+    return metered(complete, "ingest", valid=F.col("is_valid"))
 
 
 def accepted(normalised: DataFrame) -> DataFrame:

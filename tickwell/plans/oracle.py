@@ -660,6 +660,58 @@ SELECT symbol, count(*) AS tested, count(*) FILTER (breach) AS breaches,
        round(1.0::DOUBLE - 0.95::DOUBLE, 6) AS expected_rate
 FROM judged GROUP BY symbol""",
     ),
+    "feature_drift": with_(
+        features("1 day"),
+        body="""
+, long AS (
+  UNPIVOT (SELECT window_start >= TIMESTAMP '2024-01-16' AS recent, price_momentum,
+                  intraday_volatility, price_position, volume_proxy::DOUBLE AS volume_proxy,
+                  trend_strength FROM features)
+  ON price_momentum, intraday_volatility, price_position, volume_proxy, trend_strength
+  INTO NAME feature VALUE value),
+ranges AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM long WHERE NOT recent
+           GROUP BY feature),
+binned AS (
+  SELECT feature, greatest(0, least(9, floor(coalesce((value - lo) / nullif(hi - lo, 0) * 10, 0))))
+           AS bin, recent
+  FROM long JOIN ranges USING (feature)),
+counts AS (
+  SELECT feature, bin, count(*) FILTER (NOT recent) AS older, count(*) FILTER (recent) AS newer
+  FROM binned GROUP BY ALL),
+shares AS (
+  SELECT feature, greatest(older / sum(older) OVER (PARTITION BY feature), 0.0001::DOUBLE) AS p,
+         greatest(coalesce(newer / nullif(sum(newer) OVER (PARTITION BY feature), 0), 0),
+                  0.0001::DOUBLE) AS q
+  FROM counts)
+SELECT feature, round(sum((q - p) * ln(q / p)), 6) AS stability_index FROM shares
+GROUP BY feature""",
+    ),
+    "temporal_folds": with_(
+        features("1 day"),
+        body="""
+, placed AS (SELECT symbol, window_start,
+    ntile(4) OVER (PARTITION BY symbol ORDER BY window_start) AS fold FROM features),
+sizes AS (SELECT symbol, fold, count(*) AS test_rows, min(window_start) AS test_start,
+                 max(window_start) AS test_end FROM placed GROUP BY ALL)
+SELECT symbol, CAST(fold AS INTEGER) AS fold, test_rows, test_start, test_end,
+       CAST(sum(test_rows) OVER (PARTITION BY symbol ORDER BY fold
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT) AS train_rows
+FROM sizes QUALIFY fold > 1""",
+    ),
+    "stream_window_features": with_(
+        features("5 minutes"),
+        body=f"SELECT {FEATURE_OUT} FROM features WHERE window_end <= (SELECT "
+        "max(event_time) - INTERVAL '10 minutes' FROM valid)",
+    ),
+    "stream_returns": with_(
+        RETURNS,
+        body="SELECT event_id, symbol, event_time, round(returns, 6) AS returns FROM series",
+    ),
+    "stream_ingest": with_(
+        RAW,
+        body="SELECT symbol, CASE WHEN ok THEN 'valid' ELSE 'rejected' END AS route, "
+        "count(*) AS quotes FROM judged GROUP BY ALL",
+    ),
     "log_pattern_counts": with_(
         LINES,
         body="SELECT count(*) AS lines, count(*) FILTER (contains(line, 'ERROR')) AS errors, "
@@ -676,6 +728,6 @@ FROM judged GROUP BY symbol""",
     "log_last_errors": with_(
         LINES,
         body="SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, substring(line, 1, 100) AS line "
-        "FROM lines WHERE contains(line, 'error') ORDER BY doc_id DESC, line_no DESC LIMIT 3",
+        "FROM lines WHERE contains(line, 'th') ORDER BY doc_id DESC, line_no DESC LIMIT 3",
     ),
 }

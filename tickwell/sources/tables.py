@@ -21,16 +21,17 @@ def cents(amount: Column) -> Column:
 
 def as_quotes(events: DataFrame) -> DataFrame:
     """Full quotes: the event value is the price, `props.k` spreads the day's range around it."""
-    k = F.from_json("props", "k bigint")["k"]
-    spread = events.select(
+    read = events.select(
         "event_id",
         F.col("ts").alias("event_time"),
         F.col("event_type").alias("symbol"),
         F.col("value").alias("current_price"),
-        k.alias("k"),
+        F.from_json("props", "k bigint")["k"].alias("k"),
         cents(F.col("value")).alias("price_c"),
-        (cents(F.col("value")) + k - 50).alias("open_c"),
-        (cents(F.col("value")) - k + 50).alias("previous_c"),
+    )
+    k = F.col("k")
+    spread = read.withColumns(
+        {"open_c": F.col("price_c") + k - 50, "previous_c": F.col("price_c") - k + 50}
     )
     change = (F.col("price_c") - F.col("previous_c")) / F.lit(100.0)
     previous = F.col("previous_c") / F.lit(100.0)
@@ -53,9 +54,9 @@ def quotes(spark: SparkSession, folder: str) -> DataFrame:
     return as_quotes(table(spark, folder, "events"))
 
 
-def price_history(spark: SparkSession, folder: str) -> DataFrame:
+def as_prices(events: DataFrame) -> DataFrame:
     """Only the columns a return needs, so the scan reads four columns."""
-    return table(spark, folder, "events").select(
+    return events.select(
         "event_id",
         F.col("ts").alias("event_time"),
         F.col("event_type").alias("symbol"),
@@ -63,6 +64,10 @@ def price_history(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def price_history(spark: SparkSession, folder: str) -> DataFrame:
+    return as_prices(table(spark, folder, "events"))
+
+
 def money_text(amount: str) -> Column:
     return F.col(amount).cast("decimal(18,2)").cast("string")
 
@@ -168,3 +173,12 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(
         "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
     )
+
+
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The event table as a stream; watermarks need a time with a zone."""
+    schema = table(spark, folder, "events").schema
+    stream = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    )
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
