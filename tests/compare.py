@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -49,6 +50,8 @@ def main(folder: str, names: list[str]) -> int:
     from tickwell.session import local_session
 
     spark = local_session()
+    for setting in filter(None, os.environ.get("COMPARE_CONF", "").split(",")):
+        spark.conf.set(*setting.split("="))
     con = connect(folder)
     bad = 0
     for name, fn in e.queries().items():

@@ -115,7 +115,11 @@ def grow_forests(
         wanted = min(float(sample), float(group["size"].iloc[0]))
         return grown.assign(symbol=symbol, tree=tree, drawn=wanted)[NODE_COLUMNS]
 
-    return drawn.groupBy("symbol", "tree").applyInPandas(build, NODES)
+    # Growing is heavy for its few bytes: an explicit number keeps the partitions apart,
+    # where adaptive coalescing would go by size and put all trees into one task.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = drawn.repartition(parts, "symbol", "tree")
+    return spread.groupBy("symbol", "tree").applyInPandas(build, NODES)
 
 
 def anomaly_scores(

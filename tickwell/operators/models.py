@@ -7,8 +7,10 @@ for universes too long to loop over.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
+from typing import TypeVar
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -28,7 +30,7 @@ from tickwell.sources.durable import broadcast_if_small
 TREES, DEPTH, SEED = 20, 3, 42
 CLUSTERS, STARTS = 3, 10
 CONFIDENT = 0.6
-DIRECTION_COLUMNS = ("p_down", "p_up")
+FITS_AT_ONCE = 5
 
 
 def available_features(rows: DataFrame, gates: Gates = GATES) -> list[str]:
@@ -103,21 +105,40 @@ Scope = PerSymbol | Pooled
 Models = dict[str, PipelineModel]
 
 
+A, B = TypeVar("A"), TypeVar("B")
+
+
+def side_by_side(fn: Callable[[A], B], items: Iterable[A], at_once: int = FITS_AT_ONCE) -> list[B]:
+    """Run independent fits from several threads; each one is a chain of Spark jobs."""
+    with ThreadPool(at_once) as pool:
+        return pool.map(fn, items)
+
+
+def fit_parts(
+    fit: Callable[[DataFrame], PipelineModel | None], scope: Scope, rows: DataFrame
+) -> Models:
+    parts = scope.parts(rows)
+    fitted = side_by_side(fit, [part for _, part in parts])
+    return {name: model for (name, _), model in zip(parts, fitted) if model is not None}
+
+
 def fit_direction(
     rows: DataFrame, features: Sequence[str], scope: Scope, gates: Gates = GATES
 ) -> Models:
     forest = RandomForestClassifier(
         labelCol="direction_label", numTrees=TREES, maxDepth=DEPTH, seed=SEED
     )
-    models = {}
-    for name, part in scope.parts(rows):
+
+    def fit(part: DataFrame) -> PipelineModel | None:
         seen = part.agg(
             F.count("*").alias("rows"), F.count_distinct("direction_label").alias("classes")
         ).first()
-        if seen["rows"] >= gates.direction and seen["classes"] > 1:
-            pipeline = Pipeline(stages=[*scope.stages(features), forest])
-            models[name] = pipeline.fit(part.where(in_training()))
-    return models
+        if seen["rows"] < gates.direction or seen["classes"] < 2:
+            return None
+        pipeline = Pipeline(stages=[*scope.stages(features), forest])
+        return pipeline.fit(part.where(in_training()))
+
+    return fit_parts(fit, scope, rows)
 
 
 def fit_volatility(
@@ -126,11 +147,13 @@ def fit_volatility(
     forest = RandomForestRegressor(
         labelCol="volatility_label", numTrees=TREES, maxDepth=DEPTH, seed=SEED
     )
-    models = {}
-    for name, part in scope.parts(rows):
-        if part.limit(gates.volatility).count() >= gates.volatility:
-            models[name] = Pipeline(stages=[*scope.stages(features), forest]).fit(part)
-    return models
+
+    def fit(part: DataFrame) -> PipelineModel | None:
+        if part.limit(gates.volatility).count() < gates.volatility:
+            return None
+        return Pipeline(stages=[*scope.stages(features), forest]).fit(part)
+
+    return fit_parts(fit, scope, rows)
 
 
 def apply_models(rows: DataFrame, models: Models) -> DataFrame | None:
@@ -208,9 +231,9 @@ def fit_regimes(
     vectors = VectorAssembler(inputCols=list(symbols), outputCol="features").transform(matrix)
     vectors = vectors.select("window_start", "features").persist()
     try:
-        fitted = [
-            KMeans(k=CLUSTERS, seed=SEED + i).fit(vectors) for i in range(starts)
-        ]
+        fitted = side_by_side(
+            lambda i: KMeans(k=CLUSTERS, seed=SEED + i).fit(vectors), range(starts)
+        )
     finally:
         vectors.unpersist()
     best = min(fitted, key=lambda m: m.summary.trainingCost)
