@@ -22,11 +22,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(DIR_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {DIR_SETTING} to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="tickwell-")
-    spark.conf.set(DIR_SETTING, fallback)
-    return fallback
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {DIR_SETTING} to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tickwell-"))
+    return context.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -36,9 +37,9 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later jobs restart from files instead of the whole lineage."""
-    context = df.sparkSession.sparkContext
+    context, folder = df.sparkSession.sparkContext, shared_dir(df.sparkSession)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

@@ -65,7 +65,7 @@ def read_history(
 ) -> DataFrame:
     rows = spark.read.format(fmt).load(path)
     if time in rows.columns and dict(rows.dtypes)[time] == "string":
-        rows = rows.withColumn(time, F.to_timestamp(time))
+        rows = rows.withColumn(time, F.try_to_timestamp(time))
     return with_defaults(time_range(rows, now, days, universe, time))
 
 

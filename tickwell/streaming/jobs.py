@@ -43,10 +43,13 @@ def arrival_number() -> Column:
 
 
 def quote_stream(topic: DataFrame, universe: Universe, event_time: bool = False) -> DataFrame:
-    """Valid quotes with the time they are windowed by: arrival, or the quote's own time."""
+    """Valid quotes with the time they are windowed by: arrival, or the quote's own time.
+
+    A quote whose own time is no timestamp falls into no window.
+    """
     numbered = topic.select("*", arrival_number())
     parsed = parse_quotes(numbered, keep=("event_id",))
-    time = F.to_timestamp("timestamp") if event_time else F.current_timestamp()
+    time = F.try_to_timestamp("timestamp") if event_time else F.current_timestamp()
     return valid_quotes(parsed, universe.symbols).withColumn("processing_time", time)
 
 
@@ -61,11 +64,13 @@ def batch_folder(path: str, batch_id: int) -> str:
 def append_batches(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = TRAIN_EVERY
 ) -> StreamingQuery:
-    """Each micro-batch in its own folder, which a repeated batch overwrites."""
+    """Each micro-batch in its own folder, which a repeated batch overwrites.
+
+    An empty batch is written too: asking first would run the stateful plan twice.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
+        batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
     writer = stream.writeStream.outputMode("append").foreachBatch(write)
     return trigger(writer.option("checkpointLocation", checkpoint), every).start()
