@@ -10,7 +10,7 @@ from tickwell.operators.ordered import Ordered, blocks, ordered, slice_rows
 from tickwell.operators.returns import TICK, TIME
 from tickwell.operators.tail_risk import var_cvar, var_rank
 from tickwell.operators.windows import arrival_key
-from tickwell.sources.durable import broadcast_if_small
+from tickwell.sources.durable import broadcast_if_small, cut
 
 
 def drawdown(prices: DataFrame) -> Ordered:
@@ -26,10 +26,9 @@ def max_drawdown(prices: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def latest_prices(prices: DataFrame) -> DataFrame:
-    """Newest price per symbol; partial aggregation leaves one row per symbol and task."""
-    return prices.groupBy("symbol").agg(
-        F.max_by("current_price", arrival_key(TIME, TICK)).alias("price")
-    )
+    """Newest price per symbol, stored: its users count it before they broadcast it."""
+    newest = F.max_by("current_price", arrival_key(TIME, TICK)).alias("price")
+    return cut(prices.groupBy("symbol").agg(newest))
 
 
 def portfolio_value(positions: DataFrame, prices: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from tickwell.config import (
 )
 from tickwell.functions import messages as M
 from tickwell.operators.metering import metered
+from tickwell.sources.durable import cut
 
 ORDER = ("partition", "offset")
 
@@ -136,6 +137,8 @@ def field_commonality(topic: DataFrame) -> DataFrame:
     counts = marked.groupBy("field", (F.col("at") == 0).alias("marker")).agg(
         F.count("*").alias("messages")
     )
+    # One row per field name, stored so that the total does not read the topic again.
+    counts = cut(counts)
     total = counts.where("marker").select("messages")
     return counts.where(~F.col("marker")).select(
         "field", "messages", (F.col("messages") == total.scalar()).alias("is_common")

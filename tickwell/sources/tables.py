@@ -156,15 +156,21 @@ def raw_quotes(spark: SparkSession, folder: str) -> DataFrame:
 
 def positions(spark: SparkSession, folder: str) -> DataFrame:
     """Quantity per account and symbol out of the order lines."""
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
+    symbols = EVENT_UNIVERSE.symbols
+    place = F.pmod("l_partkey", F.lit(len(symbols)))
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_quantity", place.alias("at"))
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    names = F.array(*[F.lit(s) for s in EVENT_UNIVERSE.symbols])
-    size = len(EVENT_UNIVERSE.symbols)
+    # Lines shrink to one row per order before they move, however many an order has, and the
+    # join then finds them partitioned by its key.
+    per_order = lines.groupBy("l_orderkey").agg(
+        *[F.sum(F.when(F.col("at") == i, F.col("l_quantity"))).alias(s) for i, s in enumerate(symbols)]
+    )
+    held = per_order.join(orders, per_order["l_orderkey"] == orders["o_orderkey"])
     return (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
-        .withColumn("symbol", F.element_at(names, (F.pmod("l_partkey", F.lit(size)) + 1).cast("int")))
+        held.unpivot("o_custkey", list(symbols), "symbol", "quantity")
+        .where(F.col("quantity").isNotNull())
         .groupBy(F.col("o_custkey").alias("account"), "symbol")
-        .agg(F.sum("l_quantity").alias("quantity"))
+        .agg(F.sum("quantity").alias("quantity"))
     )
 
 
