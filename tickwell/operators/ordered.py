@@ -20,8 +20,10 @@ from pyspark.sql.window import Window, WindowSpec
 from tickwell.sources.durable import cut
 
 SLICE_SETTING = "spark.tickwell.sliceRows"
-# About 1 GB per task at 60 bytes a row; a window sort of that size spills gracefully.
-SLICE_ROWS = 16_000_000
+SLICE_ROWS = 4_000_000
+# Beyond this many slices they grow instead: a shuffle pays for every (map, slice) pair, and
+# a window sort spills.
+MAX_SLICES = 40_000
 
 
 def slice_rows(df: DataFrame) -> int:
@@ -135,7 +137,8 @@ def ordered(df: DataFrame, key: str, order: tuple[str, ...]) -> Ordered:
     rows = df.count()
     if rows <= limit:
         return Ordered(df, key, order, single=True)
-    ranged = df.repartitionByRange(-(-rows // limit), key, *order).withColumn(
+    wanted = min(-(-rows // limit), MAX_SLICES)
+    ranged = df.repartitionByRange(wanted, key, *order).withColumn(
         "slice", F.spark_partition_id()
     )
     # The slice number is a property of this one shuffle, so it is fixed on disk before use.

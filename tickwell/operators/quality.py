@@ -42,6 +42,14 @@ def parse_rate(parsed: DataFrame) -> DataFrame:
     )
 
 
+def parsed_sample(parsed: DataFrame, n: int = 3) -> DataFrame:
+    """The first usable quotes in topic order; `parsed` must carry partition and offset."""
+    usable = F.col("current_price").isNotNull() & F.col("symbol").isNotNull()
+    return (
+        parsed.where(usable).orderBy(*ORDER).limit(n).select("symbol", "current_price", "timestamp")
+    )
+
+
 def check_messages(topic: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
     """One verdict per message; a malformed one has a single issue and no field count."""
     text = topic.withColumn("value", F.col("value").cast("string"))
@@ -270,18 +278,22 @@ def valid_structure(topic: DataFrame) -> DataFrame:
     )
 
 
-def field_types(topic: DataFrame) -> DataFrame:
-    """Every field that occurs, the JSON types it has, and how often."""
-    doc = topic.select(M.document(F.col("value").cast("string")).alias("doc"))
+def message_fields(topic: DataFrame) -> DataFrame:
+    """Every field of every parsed message with its value as text and its JSON type."""
+    doc = topic.select(*ORDER, M.document(F.col("value").cast("string")).alias("doc"))
     spark = topic.sparkSession
     entries = doc.lateralJoin(spark.tvf.variant_explode(F.col("doc").outer()))
-    return (
-        entries.select(F.col("key").alias("field"), M.kind(F.col("value")).alias("kind"))
-        .groupBy("field", "kind")
-        .agg(F.count("*").alias("messages"))
+    text = F.try_variant_get(F.col("value"), "$", "string")
+    return entries.select(
+        *ORDER, F.col("key").alias("field"), text.alias("text"), M.kind(F.col("value")).alias("kind")
     )
 
 
+def field_types(topic: DataFrame) -> DataFrame:
+    """Every field that occurs, the JSON types it has, and how often."""
+    return message_fields(topic).groupBy("field", "kind").agg(F.count("*").alias("messages"))
+
+
 def vendor_reply(raw: DataFrame, body: str = "body") -> DataFrame:
     """Size, field count and field types of raw vendor replies, and whether `c` is a number."""
     letters = tuple(VENDOR_NAMES)

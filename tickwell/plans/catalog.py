@@ -194,6 +194,15 @@ def parsed_quotes(spark, folder):
     return windows.valid_quotes(parsed, U.symbols).drop("kafka_timestamp")
 
 
+def parsed_sample(spark, folder):
+    parsed = quality.parse_quotes(tables.messages(spark, folder), keep=quality.ORDER)
+    return quality.parsed_sample(parsed)
+
+
+def message_fields(spark, folder):
+    return quality.message_fields(tables.messages(spark, folder)).drop("text")
+
+
 def message_checks(spark, folder):
     return joined(checks(spark, folder).drop("timestamp"), "issues")
 
@@ -488,6 +497,8 @@ QUERIES: dict[str, Query] = {
     "ingest_symbol_source": ingest_symbol_source,
     "parse_rate": parse_rate,
     "parsed_quotes": parsed_quotes,
+    "parsed_sample": parsed_sample,
+    "message_fields": message_fields,
     "message_checks": message_checks,
     "message_summary": message_summary,
     "top_issues": top_issues,

@@ -213,7 +213,7 @@ written AS (
            || ',"timestamp":"' || CASE WHEN event_id % 40 = 3
                 THEN strftime(event_time, '%d/%m/%Y')
                 ELSE strftime(event_time, '%Y-%m-%dT%H:%M:%S') END || '"'
-           || CASE WHEN event_id % 40 = 2 THEN '' ELSE ',"data_source":"finnhub"' END
+           || CASE WHEN event_id % 40 = 2 THEN '' ELSE ',"data_source":"feed"' END
            || '}}' END AS value
   FROM quotes),
 topic AS (SELECT *, TRY_CAST(value AS JSON) AS doc FROM written)"""
@@ -481,6 +481,25 @@ SELECT key AS kafka_key, key AS symbol, """
        doc->>'$.timestamp' AS timestamp, doc->>'$.data_source' AS data_source
 FROM kinds WHERE t_current_price = 'number' AND CAST(doc->>'$.current_price' AS DOUBLE) > 0
   AND key IN {S}""",
+    ),
+    "parsed_sample": with_(
+        MESSAGES,
+        KINDS,
+        body="""
+SELECT key AS symbol, CAST(doc->>'$.current_price' AS DOUBLE) AS current_price,
+       doc->>'$.timestamp' AS timestamp
+FROM kinds WHERE t_current_price = 'number' ORDER BY part, pos LIMIT 3""",
+    ),
+    "message_fields": with_(
+        MESSAGES,
+        body="""
+, keyed AS (SELECT part, pos, doc, unnest(json_keys(doc)) AS field FROM topic
+            WHERE doc IS NOT NULL),
+typed AS (SELECT part, pos, field, json_type(doc, '$.' || field) AS t FROM keyed)
+SELECT part AS "partition", pos AS "offset", field,
+       CASE t WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean'
+         WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind
+FROM typed""",
     ),
     "message_checks": with_(
         CHECKED,

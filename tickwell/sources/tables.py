@@ -93,7 +93,7 @@ def as_messages(quotes: DataFrame) -> DataFrame:
         F.lit(',"open":'), money_text("open"),
         F.lit(',"previous_close":'), money_text("previous_close"),
         F.lit(',"timestamp":"'), F.when(fault == 3, local).otherwise(iso), F.lit('"'),
-        F.when(fault == 2, "").otherwise(',"data_source":"finnhub"'),
+        F.when(fault == 2, "").otherwise(',"data_source":"feed"'),
         F.lit("}"),
     ]
     whole = F.concat(*parts)
@@ -101,7 +101,7 @@ def as_messages(quotes: DataFrame) -> DataFrame:
     return quotes.select(
         F.col("symbol").cast("binary").alias("key"),
         text.cast("binary").alias("value"),
-        F.lit("financial_prices").alias("topic"),
+        F.lit("quotes").alias("topic"),
         F.pmod("event_id", F.lit(3)).cast("int").alias("partition"),
         F.floor(F.col("event_id") / 3).cast("long").alias("offset"),
         F.col("event_time").cast("timestamp").alias("timestamp"),

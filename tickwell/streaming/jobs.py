@@ -76,9 +76,15 @@ def append_batches(
     return trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
-def monitor(stream: DataFrame, checkpoint: str, every: str | None = MONITOR_EVERY) -> StreamingQuery:
+def monitor(
+    stream: DataFrame,
+    checkpoint: str,
+    every: str | None = MONITOR_EVERY,
+    columns: tuple[str, ...] = MONITOR_COLUMNS,
+) -> StreamingQuery:
+    """Five rows of each batch on the console; `("*",)` prints every column."""
     writer = (
-        stream.select(*MONITOR_COLUMNS)
+        stream.select(*columns)
         .writeStream.outputMode("append")
         .format("console")
         .option("truncate", False)
