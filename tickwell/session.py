@@ -17,6 +17,8 @@ def local_session(app: str = "tickwell", cores: str | int = 8) -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # Call sites for error messages cost more than most plans here take to build.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -54,6 +54,18 @@ def quotes(spark: SparkSession, folder: str) -> DataFrame:
     return as_quotes(table(spark, folder, "events"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the source has fewer splits than that.
+
+    For parsing, which is heavy for its bytes. A large table has more splits than there are
+    cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def as_prices(events: DataFrame) -> DataFrame:
     """Only the columns a return needs, so the scan reads four columns."""
     return events.select(
@@ -110,7 +122,7 @@ def as_messages(quotes: DataFrame) -> DataFrame:
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    return as_messages(quotes(spark, folder))
+    return as_messages(as_quotes(spread(table(spark, folder, "events"))))
 
 
 def as_raw_quotes(quotes: DataFrame) -> DataFrame:
@@ -151,7 +163,7 @@ def as_raw_quotes(quotes: DataFrame) -> DataFrame:
 
 
 def raw_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    return as_raw_quotes(quotes(spark, folder))
+    return as_raw_quotes(as_quotes(spread(table(spark, folder, "events"))))
 
 
 def positions(spark: SparkSession, folder: str) -> DataFrame:
