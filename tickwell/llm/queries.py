@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tickwell.llm.bpe import op3
 from tickwell.llm.decontaminate import OP6_SQL, op6
+from tickwell.llm.language_model import op7
 from tickwell.llm.quality import op5
 from tickwell.llm.secrets import op2
 from tickwell.llm.simhash import op10
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_bpe": op3,
     "op5_quality": op5,
     "op6_decontamination": op6,
+    "op7_language_model": op7,
     "op10_simhash": op10,
 }
 
