@@ -5,9 +5,11 @@ from __future__ import annotations
 from tickwell.llm.bpe import op3
 from tickwell.llm.decontaminate import OP6_SQL, op6
 from tickwell.llm.language_model import op7
+from tickwell.llm.pages import op9
 from tickwell.llm.quality import op5
 from tickwell.llm.secrets import op2
 from tickwell.llm.simhash import op10
+from tickwell.llm.toxicity import op8
 
 QUERIES = {
     "op2_secrets": op2,
@@ -15,6 +17,8 @@ QUERIES = {
     "op5_quality": op5,
     "op6_decontamination": op6,
     "op7_language_model": op7,
+    "op8_toxicity": op8,
+    "op9_main_text": op9,
     "op10_simhash": op10,
 }
 
