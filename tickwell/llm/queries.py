@@ -9,9 +9,11 @@ from tickwell.llm.pages import op9
 from tickwell.llm.quality import op5
 from tickwell.llm.secrets import op2
 from tickwell.llm.simhash import op10
+from tickwell.llm.suffixes import op1
 from tickwell.llm.toxicity import op8
 
 QUERIES = {
+    "op1_suffixes": op1,
     "op2_secrets": op2,
     "op3_bpe": op3,
     "op5_quality": op5,
