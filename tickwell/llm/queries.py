@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tickwell.llm.bpe import op3
+from tickwell.llm.chat import OP4_SQL, op4
 from tickwell.llm.decontaminate import OP6_SQL, op6
 from tickwell.llm.language_model import op7
 from tickwell.llm.pages import op9
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_suffixes": op1,
     "op2_secrets": op2,
     "op3_bpe": op3,
+    "op4_preferences": op4,
     "op5_quality": op5,
     "op6_decontamination": op6,
     "op7_language_model": op7,
@@ -24,4 +26,4 @@ QUERIES = {
     "op10_simhash": op10,
 }
 
-ORACLE = {"op6_decontamination": OP6_SQL}
+ORACLE = {"op4_preferences": OP4_SQL, "op6_decontamination": OP6_SQL}
