@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.common import partitions, table
+from tickwell.llm.common import table
 from tickwell.shipping import ship
 
 LENGTH = 100
@@ -33,6 +33,8 @@ KEY = LENGTH + REACH
 PIECE = 2_000_000
 #: Documents whose suffixes set the borders between ranges, about; only the balance depends on it.
 SAMPLE = 3_000
+#: Bytes of text for each shard, about; what a task holds follows from it, whatever the input.
+SHARD_BYTES = 16 << 20
 #: Stands for a null doc_id, so that such rows come last.
 LAST = np.int64(2**63 - 1)
 
@@ -129,6 +131,23 @@ def shard_of(doc: np.ndarray, tag: np.ndarray, shards: int) -> np.ndarray:
     return ((code >> np.uint64(33)) % np.uint64(shards)).astype(np.int32)
 
 
+def text_block(texts: list[tuple[int | None, bytes]]) -> bytes:
+    """Texts with their ids, null ones included, as one compressed block."""
+    named = np.array([doc is not None for doc, _ in texts])
+    doc = np.array([int(LAST) if doc is None else doc for doc, _ in texts], np.int64)
+    facts = packed(named.view(np.uint8), doc, np.array([len(t) for _, t in texts], np.int64))
+    return np.int64(len(facts)).tobytes() + facts + zstandard.compress(b"".join(t for _, t in texts), 3)
+
+
+def texts_of(data: bytes) -> Iterator[tuple[int | None, bytes]]:
+    size = int(np.frombuffer(data, np.int64, 1)[0])
+    named, doc, lengths = (v.tolist() for v in unpacked(data[8 : 8 + size]))
+    flat, at = zstandard.decompress(data[8 + size :]), 0
+    for known, number, length in zip(named, doc, lengths, strict=True):
+        yield (number if known else None), flat[at : at + length]
+        at += length
+
+
 def scattered(shard: np.ndarray, shards: int, kind: int, arrays: list[np.ndarray]) -> list[tuple]:
     """One row for each shard with the array entries that belong there."""
     order = np.argsort(shard, kind="stable")
@@ -271,12 +290,12 @@ def sort_runs(shards: int, borders: np.ndarray):
         texts: dict[tuple[int, int], bytes] = {}
         blocks = []
         for part in batches:
-            for kind, doc, data in zip(part.column("kind").to_pylist(), part.column("doc_id").to_pylist(), part.column("data"), strict=True):
-                value = data.as_buffer().to_pybytes()
-                if kind == TEXT:
-                    texts[int(LAST) if doc is None else doc, tag_of(value)] = value
+            for row in part.to_pylist():
+                if row["kind"] == TEXT:
+                    for doc, text in texts_of(row["data"]):
+                        texts[int(LAST) if doc is None else doc, tag_of(text)] = text
                 else:
-                    blocks.append(value)
+                    blocks.append(row["data"])
         doc, tag, place = gathered(blocks, [np.int64, np.uint32, np.uint64])
         found = records_of(texts, doc, tag, place)
         del texts
@@ -303,7 +322,7 @@ def front_coded(run: Records) -> bytes:
     shared = shared_prefix(run.keys)
     tails = run.keys[np.arange(KEY) >= shared[:, None]]
     facts = packed(shared.astype(np.uint8), run.right.astype(np.uint8), run.left.astype(np.uint8), run.doc, run.tag, run.place)
-    return np.int64(len(facts)).tobytes() + facts + zstandard.compress(tails.tobytes(), 1)
+    return np.int64(len(facts)).tobytes() + facts + zstandard.compress(tails.tobytes(), 3)
 
 
 class Run:
@@ -548,9 +567,11 @@ def remove_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts and their spans to what is left of each text."""
     texts, blocks = [], []
     for part in batches:
-        for kind, doc, data in zip(part.column("kind").to_pylist(), part.column("doc_id").to_pylist(), part.column("data"), strict=True):
-            value = data.as_buffer().to_pybytes()
-            texts.append((doc, value)) if kind == TEXT else blocks.append(value)
+        for row in part.to_pylist():
+            if row["kind"] == TEXT:
+                texts += texts_of(row["data"])
+            else:
+                blocks.append(row["data"])
     doc, tag, begin, end = gathered(blocks, [np.int64, np.uint32, np.int64, np.int64])
     order = np.lexsort((begin, tag, doc))
     doc, tag, begin, end = doc[order], tag[order], begin[order], end[order]
@@ -570,9 +591,8 @@ def remove_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "n_bytes", "spans", "kept"])
 
 
-def borders_of(rows: DataFrame, shards: int) -> np.ndarray:
+def borders_of(rows: DataFrame, total: int, shards: int) -> np.ndarray:
     """Keys that cut the suffixes of a bounded sample of documents into equal ranges."""
-    total = rows.count()
     share = max(1, total // SAMPLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -594,7 +614,7 @@ def borders_of(rows: DataFrame, shards: int) -> np.ndarray:
     return np.unique(np.array([keys[len(keys) * k // shards] for k in range(1, shards)], f"S{KEY}"))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row: what is removed, and the bytes that stay.
 
     Texts are UTF-8 bytes, a null one is empty. Documents are ordered by doc_id, null ones last; rows
@@ -602,25 +622,32 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     are one document, reported as often as they came. Texts under 100 bytes stay whole, and a document
     of which an exact copy comes earlier goes altogether.
 
-    One plan of five exchanges without actions in between, so lost executors are made good by lineage;
-    two of them move the texts. Each step deals its rows in compressed blocks of columns. An anchor that
-    a third of all documents hold sends one row for each slice of texts, equal surroundings go on once
-    for each task, and a group with very many different surroundings is cut by the borders between
-    ranges and settled by digests of its strings.
+    There is a shard for each `shard_bytes` of text; a very large input takes a larger value, and
+    executors that can hold some twenty times as much. One plan of five exchanges without actions in
+    between, so lost executors are made good by lineage; two of them move the texts. Each step deals
+    its rows in compressed blocks of columns. An anchor that a third of all documents hold sends one
+    row for each slice of texts, equal surroundings go on once for each task, and a group with very
+    many different surroundings is cut by the borders between ranges and settled by digests of its
+    strings.
     """
     spark = docs.sparkSession
     ship(spark)
-    shards = partitions(spark)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.select(F.lit(0).alias("shard"), F.lit(TEXT).alias("kind"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("data"))
-    borders = borders_of(rows, shards)
+    total, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.length("data")), F.lit(0))).first()
+    shards = max(1, -(-size // shard_bytes))
+    borders = borders_of(rows, total, shards)
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            keys = np.array([int(LAST) if d is None else d for d in part.column("doc_id").to_pylist()], np.int64)
-            tags = np.array([tag_of(t.as_buffer()) for t in part.column("data")], np.uint32)
-            shard = pa.array(shard_of(keys, tags, shards), pa.int32())
-            yield pa.RecordBatch.from_arrays([shard, *part.columns[1:]], part.schema.names)
+            texts = list(zip(part.column("doc_id").to_pylist(), (t.as_buffer().to_pybytes() for t in part.column("data")), strict=True))
+            keys = np.array([int(LAST) if d is None else d for d, _ in texts], np.int64)
+            shard = shard_of(keys, np.array([tag_of(t) for _, t in texts], np.uint32), shards)
+            order = np.argsort(shard, kind="stable").tolist()
+            edges = np.searchsorted(shard[order], np.arange(shards + 1)).tolist()
+            for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                if b > a:
+                    yield batch([(s, TEXT, None, text_block([texts[k] for k in order[a:b]]))])
 
     placed = rows.mapInArrow(home, ROWS)
     candidates = rows.mapInArrow(find_candidates(shards), ROWS).repartitionById(shards, "shard")
