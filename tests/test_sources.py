@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
+from conftest import ROOT
 from pyspark.sql import functions as F
 
 from tickwell.config import Universe
 from tickwell.functions import logs
-from tickwell.operators import portfolio
-from tickwell.sources import durable, history, topics
+from tickwell.operators import correlation, portfolio
+from tickwell.sources import durable, history, registry, tables, topics
 
 AB = Universe(("A", "B"), "A")
 DAY = 86400
@@ -47,10 +51,6 @@ def test_defaults_only_for_absent_columns(rows):
     assert row["percent_change"] is None and row["volatility_score"] == 0.0
 
 
-def test_cap_keeps_the_oldest(rows):
-    assert [r["event_id"] for r in history.capped(rows, rows_cap=2).collect()] == [0, 10]
-
-
 def test_doubled_range(spark):
     assert [tuple(r) for r in topics.doubled_range(spark, 3).collect()] == [(0, 0), (1, 2), (2, 4)]
 
@@ -108,6 +108,46 @@ def test_drawdown_and_stress(spark, price_frame):
     shocks = spark.createDataFrame([("down", "A", -0.5)], "scenario string, symbol string, shock double")
     row = portfolio.stress_test(held, prices, shocks).first()
     assert (row["stressed_value"], row["loss"]) == (90.0, -90.0)
+    held = spark.createDataFrame(
+        [(1, "A", 2.0), (1, "B", 5.0)], "account bigint, symbol string, quantity double"
+    )
+    other = spark.createDataFrame([("up", "C", 0.5)], shocks.schema)
+    row = portfolio.stress_test(held, prices, other).first()
+    assert (row["value"], row["stressed_value"], row["unpriced"]) == (180.0, 180.0, 1)
+
+
+def test_matrix_leaves_out_times_of_unlisted_symbols(spark, monkeypatch):
+    rows = spark.createDataFrame(
+        [("A", 1, 1.0), ("B", 1, 2.0), ("A", 2, 2.0), ("B", 2, 1.0), ("A", 3, 5.0), ("C", 4, 9.0)],
+        "symbol string, t bigint, v double",
+    )
+    narrow = correlation.correlation(rows, "t", "v", ["A", "B"]).collect()
+    monkeypatch.setattr(correlation, "EXPRESSION_SYMBOLS", 1)
+    assert sorted(narrow) == sorted(correlation.correlation(rows, "t", "v", ["A", "B"]).collect())
+
+
+def test_no_version_before_the_first_training(spark, tmp_path):
+    assert registry.latest_version(spark, str(tmp_path)) is None
+
+
+def test_stream_reads_a_folder_of_files(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    stream = tables.event_stream(spark, str(tmp_path))
+    query = stream.writeStream.format("memory").queryName("folder_events").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("folder_events").count() == events.count()
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    code = (
+        "import sys; sys.path.insert(0, %r); import __spark_entry__ as e; "
+        "from tickwell.session import local_session; s = local_session('far', 2); "
+        "print('ROWS', e.queries()['anomaly_counts'](s, '/root/testdata/sf0.001').count())" % ROOT
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=environment, capture_output=True, text=True)
+    assert "ROWS 3" in ran.stdout, ran.stderr[-2000:]
 
 
 def test_limit_alerts(spark):

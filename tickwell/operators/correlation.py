@@ -16,15 +16,15 @@ EXPRESSION_SYMBOLS = 40
 def time_matrix(
     rows: DataFrame, time: str, value: str, symbols: Sequence[str]
 ) -> DataFrame:
-    """One row per time, one mean column per symbol, 0 where the symbol has no row."""
+    """One row per time of a listed symbol, one mean column each, 0 where it has no row."""
+    rows = rows.where(F.col("symbol").isin(*symbols))
     if len(symbols) > EXPRESSION_SYMBOLS:
         wide = rows.groupBy(time).pivot("symbol", list(symbols)).agg(F.avg(value))
         return wide.na.fill(0.0, list(symbols))
     # One aggregation by time; a pivot would shuffle by (time, symbol) first.
     means = [F.avg(F.when(F.col("symbol") == s, F.col(value))) for s in symbols]
     return (
-        rows.where(F.col("symbol").isin(*symbols))
-        .groupBy(time)
+        rows.groupBy(time)
         .agg(*[F.coalesce(m, F.lit(0.0)).alias(s) for m, s in zip(means, symbols)])
     )
 

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickwell.shipping import ship
 from tickwell.sources.durable import broadcast_if_small
 
 # Forest settings.
@@ -93,6 +94,7 @@ def grow_forests(
     seed: int = SEED,
 ) -> DataFrame:
     """Node table of all forests; `identity` names a row, so repeated runs agree."""
+    ship(rows.sparkSession)
     sizes = rows.groupBy("symbol").agg(F.count("*").alias("size"))
     sized = rows.join(broadcast_if_small(sizes), "symbol")
     chance = F.least(F.lit(1.0), F.lit(float(sample)) / F.col("size"))
@@ -129,6 +131,7 @@ def anomaly_scores(
     group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """`rows` with `anomaly_score` in (0, 1); higher is more isolated."""
+    ship(rows.sparkSession)
     groups = rows.groupBy("symbol").agg(
         F.ceil(F.count("*") / group_rows).cast("int").alias("_groups")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -31,29 +31,47 @@ def latest_prices(prices: DataFrame) -> DataFrame:
     return cut(prices.groupBy("symbol").agg(newest))
 
 
+def valued_positions(positions: DataFrame, prices: DataFrame) -> DataFrame:
+    """Every holding with its value, null where the symbol has no price."""
+    latest = broadcast_if_small(latest_prices(prices))
+    return positions.join(latest, "symbol", "left").select(
+        "account", "symbol", (F.col("quantity") * F.col("price")).alias("value")
+    )
+
+
+def total(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0.0))
+
+
 def portfolio_value(positions: DataFrame, prices: DataFrame) -> DataFrame:
-    valued = positions.join(broadcast_if_small(latest_prices(prices)), "symbol")
-    return valued.groupBy("account").agg(
-        F.round(F.sum(F.col("quantity") * F.col("price")), 4).alias("value"),
+    """Value per account; holdings without a price are counted, not dropped."""
+    return valued_positions(positions, prices).groupBy("account").agg(
+        F.round(total(F.col("value")), 4).alias("value"),
         F.count("*").alias("holdings"),
+        F.count_if(F.col("value").isNull()).alias("unpriced"),
     )
 
 
 def stress_test(positions: DataFrame, prices: DataFrame, shocks: DataFrame) -> DataFrame:
-    """Value per account and scenario; `shocks(scenario, symbol, shock)` covers each symbol.
+    """Value per account and scenario; a symbol that `shocks(scenario, symbol, shock)` leaves out
+    keeps its value, one without a price is counted.
 
-    Shocks join on the symbol after positions are added up, so the rows double per scenario
-    only at (account, symbol) grain.
+    The scenarios are one array of symbol maps, so positions are repeated once per scenario, after
+    they have been added up, and nothing is joined by symbol.
     """
-    valued = positions.join(broadcast_if_small(latest_prices(prices)), "symbol").select(
-        "account", "symbol", (F.col("quantity") * F.col("price")).alias("value")
+    maps = shocks.groupBy("scenario").agg(
+        F.map_from_entries(F.collect_list(F.struct("symbol", "shock"))).alias("shocks")
     )
-    shocked = valued.join(broadcast_if_small(shocks), "symbol")
-    stressed = F.sum(F.col("value") * (1 + F.col("shock")))
+    scenarios = maps.agg(F.collect_list(F.struct("scenario", "shocks")).alias("scenarios"))
+    valued = valued_positions(positions, prices).withColumn("scenarios", scenarios.scalar())
+    shocked = valued.select("account", "symbol", "value", F.inline("scenarios"))
+    shock = F.coalesce(F.col("shocks")[F.col("symbol")], F.lit(0.0))
+    stressed = total(F.col("value") * (1 + shock))
     return shocked.groupBy("scenario", "account").agg(
-        F.round(F.sum("value"), 4).alias("value"),
+        F.round(total(F.col("value")), 4).alias("value"),
         F.round(stressed, 4).alias("stressed_value"),
-        F.round(stressed - F.sum("value"), 4).alias("loss"),
+        F.round(stressed - total(F.col("value")), 4).alias("loss"),
+        F.count_if(F.col("value").isNull()).alias("unpriced"),
     )
 
 

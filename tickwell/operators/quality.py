@@ -174,13 +174,12 @@ def schema_consistency(topic: DataFrame) -> DataFrame:
     )
 
 
-def non_numeric_fields(topic: DataFrame, first: int = 5) -> DataFrame:
-    """Fields of the first messages that should be numbers and are not."""
-    early = topic.orderBy(*ORDER).limit(first)
+def non_numeric_fields(topic: DataFrame) -> DataFrame:
+    """Fields of all messages that should be numbers and are not."""
     doc = M.document(F.col("value").cast("string"))
     names = M.literals(NUMBER_FIELDS)
     named = (
-        early.withColumn("doc", doc)
+        topic.withColumn("doc", doc)
         .select(*ORDER, F.arrays_zip(names.alias("field"), M.kinds(F.col("doc"), NUMBER_FIELDS).alias("kind")).alias("seen"))
         .select(*ORDER, F.inline("seen"))
     )

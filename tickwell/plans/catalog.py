@@ -117,11 +117,6 @@ def history_range_scan(spark, folder):
     return history.with_defaults(rows)
 
 
-def history_capped(spark, folder):
-    rows = history.time_range(tables.price_history(spark, folder), NOW, 30, U)
-    return history.capped(rows).select("event_id", TIME, "symbol", "current_price")
-
-
 def symbols_seen(spark, folder):
     return history.symbols_seen(tables.price_history(spark, folder))
 
@@ -283,8 +278,9 @@ def text_extract(spark, folder):
 # --- portfolio ----------------------------------------------------------------------------
 
 # Example settings of the registered queries.
+# The rally does not touch every symbol.
 SHOCKS = [("crash", "view", -0.3), ("crash", "click", -0.2), ("crash", "purchase", -0.25),
-          ("rally", "view", 0.1), ("rally", "click", 0.15), ("rally", "purchase", 0.05)]
+          ("rally", "view", 0.1), ("rally", "purchase", 0.05)]
 LIMITS = [("var_95", "view", ">", 50.0), ("max_return", "click", ">", 1000.0),
           ("mean_return", "purchase", "<", 0.0), ("volatility", "view", ">", 100.0)]
 WEIGHTS = {"view": 0.5, "click": 0.3, "purchase": 0.2}
@@ -484,7 +480,6 @@ QUERIES: dict[str, Query] = {
     "momentum_correlation_pairs": momentum_correlation_pairs,
     "risk_report": risk_report,
     "history_range_scan": history_range_scan,
-    "history_capped": history_capped,
     "symbols_seen": symbols_seen,
     "window_features_5m": window_features_5m,
     "window_features_1d": window_features_1d,

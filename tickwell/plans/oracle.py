@@ -284,7 +284,7 @@ EARLY = f"""
 early AS (
   SELECT * FROM (SELECT part, pos, unnest({list(NUMBERS)!r}) AS field,
                         unnest([{', '.join(f't_{n}' for n in NUMBERS)}]) AS kind
-                 FROM (SELECT * FROM kinds ORDER BY part, pos LIMIT 5))
+                 FROM kinds)
   WHERE kind IS NOT NULL AND kind <> 'number')"""
 PRESENCE = (
     ("symbol", "current_price", "timestamp"),
@@ -402,9 +402,6 @@ WHERE b.symbol = 'view' AND a.symbol <> 'view' GROUP BY a.symbol""",
         body="SELECT *, 0.0::DOUBLE AS percent_change, 0.0::DOUBLE AS volatility_score, "
         "0.0::DOUBLE AS price_range_pct FROM scan",
     ),
-    "history_capped": with_(
-        SCAN, body="SELECT * FROM scan ORDER BY event_time, event_id LIMIT 10000"
-    ),
     "symbols_seen": "SELECT count(*) AS rows, count(DISTINCT event_type) AS symbols FROM events",
     "window_features_5m": with_(
         features("5 minutes"), body=f"SELECT {FEATURE_OUT} FROM features"
@@ -625,18 +622,21 @@ FROM peaks GROUP BY symbol""",
     "portfolio_value": with_(
         TICKS,
         POSITIONS,
-        body="SELECT account, round(sum(quantity * price), 4) AS value, count(*) AS holdings "
-        "FROM positions JOIN latest USING (symbol) GROUP BY account",
+        body="SELECT account, round(coalesce(sum(quantity * price), 0), 4) AS value, count(*) AS holdings, "
+        "count(*) FILTER (price IS NULL) AS unpriced "
+        "FROM positions LEFT JOIN latest USING (symbol) GROUP BY account",
     ),
     "stress_test": with_(
         TICKS,
         POSITIONS,
         values(SHOCKS, "shocks(scenario, symbol, shock)"),
         body="""
-SELECT scenario, account, round(sum(quantity * price), 4) AS value,
-       round(sum(quantity * price * (1 + shock)), 4) AS stressed_value,
-       round(sum(quantity * price * (1 + shock)) - sum(quantity * price), 4) AS loss
-FROM positions JOIN latest USING (symbol) JOIN shocks USING (symbol)
+SELECT scenario, account, round(coalesce(sum(quantity * price), 0), 4) AS value,
+       round(coalesce(sum(quantity * price * (1 + coalesce(shock, 0))), 0), 4) AS stressed_value,
+       round(coalesce(sum(quantity * price * (1 + coalesce(shock, 0))) - sum(quantity * price), 0), 4) AS loss,
+       count(*) FILTER (price IS NULL) AS unpriced
+FROM positions CROSS JOIN (SELECT DISTINCT scenario FROM shocks)
+LEFT JOIN latest USING (symbol) LEFT JOIN shocks USING (scenario, symbol)
 GROUP BY scenario, account""",
     ),
     "limit_alerts": with_(

@@ -11,7 +11,6 @@ from tickwell.config import Universe
 
 # Columns a history row may lack, and what stands in for them.
 DEFAULTED = {"percent_change": 0.0, "volatility_score": 0.0, "price_range_pct": 0.0}
-ROW_CAP = 10_000
 
 
 def with_defaults(rows: DataFrame) -> DataFrame:
@@ -38,13 +37,6 @@ def time_range(
     return kept
 
 
-def capped(
-    rows: DataFrame, order: tuple[str, ...] = ("event_time", "event_id"), rows_cap: int = ROW_CAP
-) -> DataFrame:
-    """The oldest rows only, as a search request with a size limit returns them."""
-    return rows.orderBy(*order).limit(rows_cap)
-
-
 def write_history(rows: DataFrame, path: str, time: str = "event_time", fmt: str = "parquet") -> None:
     """One folder per date. The rows of a date are spread over files by time, so that one
     busy date is not one task."""

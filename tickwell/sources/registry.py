@@ -63,6 +63,10 @@ def entries(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
+    """The newest version, or none while nothing has been trained."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/entries")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return None
     return entries(spark, root).agg(F.max("version")).first()[0]
 
 

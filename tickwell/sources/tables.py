@@ -194,9 +194,11 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table as a stream; watermarks need a time with a zone."""
+    """The event table, one file or a folder of them, as a stream.
+
+    Watermarks need a time with a zone.
+    """
     schema = table(spark, folder, "events").schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
-    )
+    # A pattern, since a plain path of a stream has to be a folder.
+    stream = spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
