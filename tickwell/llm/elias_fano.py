@@ -45,6 +45,25 @@ def unpack(words: np.ndarray, width: int, at: np.ndarray) -> np.ndarray:
     return (low | high) & mask
 
 
+def part_of(counts: np.ndarray, number: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In which of eight neighbours the numbered bit lies, and its number there."""
+    upto = np.cumsum(counts, axis=1, dtype=np.int16)
+    part = (upto <= number[:, None]).sum(axis=1)
+    return part, number - np.where(part > 0, upto[rows, part - 1], 0)
+
+
+def bit_places() -> np.ndarray:
+    """Place of the n-th set bit of each byte."""
+    table = np.zeros((256, 8), np.int64)
+    for byte in range(256):
+        bits = [k for k in range(8) if byte >> k & 1]
+        table[byte, : len(bits)] = bits
+    return table
+
+
+PLACE = bit_places()
+
+
 class EliasFano:
     """A sorted list of distinct numbers: low bits packed, high bits in unary."""
 
@@ -73,13 +92,12 @@ class EliasFano:
         block = np.searchsorted(self.zeros, number, side="right") - 1
         rest = number - self.zeros[block]
         words = ~self.upper.reshape(-1, STRIDE)[block]
-        upto = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        word = (upto <= rest[:, None]).sum(axis=1)
-        rows = np.arange(len(word))
-        rest = rest - np.where(word > 0, upto[rows, word - 1], 0)
-        bits = np.unpackbits(words[rows, word].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        inside = (np.cumsum(bits, axis=1, dtype=np.uint8) <= rest[:, None].astype(np.uint8)).sum(axis=1)
-        return block * (WORD * STRIDE) + word * WORD + inside
+        rows = np.arange(len(block))
+        word, rest = part_of(np.bitwise_count(words), rest, rows)
+        octets = words[rows, word].view(np.uint8).reshape(-1, 8)
+        octet, rest = part_of(np.bitwise_count(octets), rest, rows)
+        inside = PLACE[octets[rows, octet], rest]
+        return block * (WORD * STRIDE) + word * WORD + octet * 8 + inside
 
     def find(self, values: np.ndarray) -> np.ndarray:
         """Place of each value in the list, -1 where it is not in it: the successor, if equal."""
@@ -93,8 +111,11 @@ class EliasFano:
     def find_some(self, values: np.ndarray) -> np.ndarray:
         high = (values >> np.uint64(self.width)).astype(np.int64)
         low = values & np.uint64((1 << self.width) - 1)
-        begin = np.where(high > 0, self.zero(np.maximum(high - 1, 0)) - high + 1, 0)
-        end = self.zero(high) - high
+        # Neighbours often share a bucket: its borders are looked up once.
+        new = np.concatenate(([True], high[1:] != high[:-1]))
+        bucket, owner = high[new], np.cumsum(new) - 1
+        begin = np.where(bucket > 0, self.zero(np.maximum(bucket - 1, 0)) - bucket + 1, 0)[owner]
+        end = (self.zero(bucket) - bucket)[owner]
         # Binary search among the low bits of one bucket, all values abreast.
         left, right = begin.copy(), end.copy()
         active = np.flatnonzero(left < right)

@@ -11,6 +11,7 @@ memory, so what a task holds is bounded, and looks up all words of a slice of te
 from __future__ import annotations
 
 import os
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -108,12 +109,13 @@ class Model:
 
 def tokens_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the distinct tokens, sorted; each token's place among them; tokens of each text."""
-    index: dict[bytes, int] = {}
+    index: defaultdict[bytes, int] = defaultdict()
+    index.default_factory = index.__len__  # a new word gets the next number
     at, lengths = [], []
     for text in texts:
         words = text.encode().lower().split()
         words.append(END)
-        at.append(np.fromiter((index.setdefault(w, len(index)) for w in words), np.int64, len(words)))
+        at.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
         lengths.append(len(words))
     hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in index), np.uint64, len(index))
     order = np.argsort(hashes, kind="stable")
@@ -136,9 +138,10 @@ def contexts_of(model: Model, texts: list[str]) -> Iterator[tuple[int, np.ndarra
         previous = np.concatenate(([-1], node[:-1]))
         previous[first] = -1
         known = np.flatnonzero(previous >= 0)
-        order = known[np.lexsort((word[known], previous[known]))]
         # An unknown word is no successor of anything; its context still backs off.
-        successor = np.where(word[order] >= 0, word[order], model.words).astype(np.uint64)
+        successor = np.where(word >= 0, word, model.words)
+        order = known[np.argsort(previous[known] * (model.words + 1) + successor[known])]
+        successor = successor[order].astype(np.uint64)
         ids, found = level.look(previous[order].astype(np.uint64), successor, model.words + 1)
         node = np.full(len(at), -1)
         node[order] = ids
