@@ -26,9 +26,9 @@ from tickwell.shipping import ship
 
 VOCABULARY = "word_bpe_49k.json"
 #: Characters of text whose new words are encoded together.
-SLICE = 8_000_000
+SLICE = 2_000_000
 #: Pieces remembered between slices; beyond it a worker starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 # Fixed values of the vocabulary's word pattern: contractions, letters, one digit, the rest.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -227,8 +227,10 @@ class Encoder:
         return " ".join(map(self.merges.tokens.__getitem__, ids.tolist()))
 
 
-def tokenize(docs: DataFrame, source: bytes, column: str = "text", into: str = "tokens") -> DataFrame:
-    """Adds `into`: the token ids of the whole text and the text decoded from them.
+def tokenize(
+    docs: DataFrame, source: bytes, column: str = "text", into: str = "tokens", decode: bool = True
+) -> DataFrame:
+    """Adds `into`: the token ids of the whole text and, if asked for, the text decoded from them.
 
     Null and empty texts give no ids and an empty decoded text. Very long texts are encoded whole.
     All other columns stay as they are; a column already called `into` is replaced. No shuffle, and
@@ -237,20 +239,22 @@ def tokenize(docs: DataFrame, source: bytes, column: str = "text", into: str = "
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(source)
 
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
+
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = Encoder(shared.value)
-        kind = pa.struct([("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
-        for texts in batches:
-            ids, decoded = [], []
-            for part in slices(texts, SLICE):
-                for found in encoder.encode(part):
-                    ids.append(found)
-                    decoded.append(encoder.decode(found))
+
+        def made(ids: list[np.ndarray]) -> pa.StructArray:
             ends = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-            made = pa.array(decoded, pa.string())
-            yield pa.StructArray.from_arrays([lists, made], fields=list(kind))
+            texts = pa.array([encoder.decode(i) if decode else None for i in ids], pa.string())
+            return pa.StructArray.from_arrays([lists, texts], fields=list(kind))
+
+        for texts in batches:
+            # Each slice is packed as soon as it is done; only packed results pile up.
+            parts = [made([])] + [made(list(encoder.encode(part))) for part in slices(texts, SLICE)]
+            yield pa.concat_arrays(parts)
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(into, F.arrow_udf(run, RESULT)(text_of(column)))
