@@ -32,12 +32,11 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the token ids of each text and their number."""
-    found = bpe.tokenize(docs.select("doc_id", "text"), bpe.vocabulary())
+    found = bpe.tokenize(docs.select("doc_id", "text"), bpe.vocabulary(), decode=False)
     return found.select(
         "doc_id",
         F.size("tokens.ids").cast("long").alias("n_tokens"),
         F.col("tokens.ids").alias("ids"),
-        (F.col("tokens.decoded") != "").alias("has_text"),
     )
 
 
