@@ -15,7 +15,7 @@ from tickwell.operators.windows import valid_quotes, window_features
 from tickwell.sources import registry, tables, topics
 from tickwell.sources.tables import EVENT_UNIVERSE as U
 from tickwell.streaming import jobs
-from tickwell.streaming.returns import return_stream
+from tickwell.streaming.returns import close_returns, return_stream
 
 
 def in_files(frame, path, parts, order="event_id"):
@@ -77,11 +77,52 @@ def test_stream_returns_equal_batch(spark, tmp_path, parts):
     stream = stream_of(spark, prices, str(tmp_path / "in"))
     out = [str(tmp_path / n) for n in ("out", "last", "c")]
     return_stream(stream, *out).awaitTermination()
+    close_returns(spark, *out[:2])
     got = spark.read.parquet(out[0]).select("event_id", F.round("returns", 9)).collect()
     want = returns(prices).frame.select("event_id", F.round("returns", 9)).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, want))
 
 
+def returns_of(spark, tmp_path, price_frame, batches, lateness):
+    path, out = str(tmp_path / "in"), [str(tmp_path / n) for n in ("out", "state", "c")]
+    numbered = [(n, row) for n, rows in enumerate(batches) for row in rows]
+    whole = price_frame([row for _, row in numbered])
+    for n in range(len(batches)):
+        ids = [i for i, (at, _) in enumerate(numbered) if at == n]
+        whole.where(F.col("event_id").isin(ids)).coalesce(1).write.mode("append").parquet(path)
+    return_stream(stream_of(spark, whole, path), *out, lateness=lateness).awaitTermination()
+    close_returns(spark, *out[:2])
+    found = spark.read.parquet(out[0]).select("event_id", F.round("returns", 2)).collect()
+    late = spark.read.parquet(f"{out[1]}/late").count()
+    return sorted(map(tuple, found)), late
+
+
+def test_late_rows_find_their_place_among_the_returns(spark, tmp_path, price_frame):
+    batches = [[("A", 1, 100.0), ("A", 5, 110.0)], [("A", 3, 105.0), ("A", 6, 121.0)]]
+    found, late = returns_of(spark, tmp_path, price_frame, batches, "10 minutes")
+    assert found == [(1, 4.76), (2, 5.0), (3, 10.0)] and late == 0
+
+
+def test_rows_behind_the_watermark_are_kept_apart(spark, tmp_path, price_frame):
+    batches = [[("A", 0, 1.0), ("A", 100, 2.0)], [("A", 200, 3.0)], [("A", 50, 9.0)]]
+    found, late = returns_of(spark, tmp_path, price_frame, batches, "1 second")
+    assert found == [(1, 100.0), (2, 50.0)] and late == 1
+
+
+def test_closing_a_stream_that_never_ran(spark, tmp_path):
+    close_returns(spark, str(tmp_path / "out"), str(tmp_path / "state"))
+
+
+def test_scoring_waits_for_the_first_training(spark, tmp_path):
+    path, root = str(tmp_path / "features"), str(tmp_path / "registry")
+    table = window_features(timed(spark), "processing_time", length="1 day")
+    table.write.parquet(jobs.batch_folder(path, 0))
+    score = jobs.scorer(path, root, list(MODEL_FEATURES), U.symbols)
+    query = jobs.follow_features(spark, path, table.schema, score, str(tmp_path / "c"), None)
+    query.awaitTermination()
+    assert query.exception() is None and not (tmp_path / "registry").exists()
+
+
 def test_ingest_stream_accounts_for_every_quote(spark, tmp_path):
     raw = tables.raw_quotes(spark, SMALL).withColumn("received_at", F.col("received_at").cast("timestamp"))
     raw.select("metadata", "body", "received_at").repartition(2).write.json(str(tmp_path / "landing"))
@@ -135,6 +176,9 @@ def test_train_and_score_follow_the_feature_table(spark, tmp_path):
     results = spark.read.json(f"{root}/results")
     assert {r["symbol"] for r in results.collect()} == set(U.symbols)
     assert {"anomaly", "confidence", "direction", "volatility_forecast", "models_count"} <= set(results.columns)
+    assert {r["regime"] for r in results.collect()} <= {"Bear", "Neutral", "Bull"}
+    listed = {(r["symbol"], r["kind"]): r["metrics"] for r in registry.entries(spark, root).collect()}
+    assert 0 <= listed["view", "direction"]["accuracy"] <= 1 and "r2" in listed["view", "volatility"]
     kinds = {(r["symbol"], r["kind"]) for r in registry.entries(spark, root).collect()}
     assert ("view", "direction") in kinds and ("market", "regime") in kinds
     loaded = registry.load(spark, root, list(MODEL_FEATURES), U.symbols)

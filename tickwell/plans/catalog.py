@@ -27,7 +27,7 @@ from tickwell.sources import history, tables
 from tickwell.sources.durable import cut, scratch
 from tickwell.sources.tables import EVENT_UNIVERSE as U
 from tickwell.streaming import jobs
-from tickwell.streaming.returns import return_stream
+from tickwell.streaming.returns import close_returns, return_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 NOW, MIDDLE = datetime(2024, 1, 30), datetime(2024, 1, 16)
@@ -430,6 +430,7 @@ def stream_returns(spark, folder):
     prices = windows.valid_quotes(tables.as_prices(events), U.symbols)
     path, state = scratch(spark, "returns"), scratch(spark, "last")
     finished(return_stream(prices, path, state, scratch(spark, "marks")))
+    close_returns(spark, path, state)
     return spark.read.parquet(path).select(
         "event_id",
         "symbol",
@@ -465,7 +466,7 @@ def log_line_classes(spark, folder):
 
 
 def log_last_errors(spark, folder):
-    return logs.last_matching(tables.log_lines(spark, folder), "th", 3, ("doc_id", "line_no"))
+    return logs.last_matching(tables.log_lines(spark, folder), "ERROR", 3, ("event_id",))
 
 
 QUERIES: dict[str, Query] = {

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -22,6 +23,24 @@ class Trained:
     direction: models.Models
     volatility: models.Models
     regimes: models.Regimes | None
+    #: Figures of the training by (symbol, kind of model).
+    metrics: Mapping[tuple[str, str], Mapping[str, float]] = field(default_factory=dict)
+
+
+def figures(scored: DataFrame, kind: str, fitted: models.Models) -> dict:
+    """The figures of each model; a model of all symbols lists them symbol by symbol.
+
+    `scored` has one row per symbol that was trained on.
+    """
+    found: dict[tuple[str, str], dict[str, float]] = {}
+    for row in scored.collect():
+        values = row.asDict()
+        symbol = values.pop("symbol")
+        pooled = symbol not in fitted
+        held = found.setdefault(("*" if pooled else symbol, kind), {})
+        tail = f":{symbol}" if pooled else ""
+        held.update({name + tail: float(v) for name, v in values.items() if v is not None})
+    return found
 
 
 def train(
@@ -46,19 +65,28 @@ def train(
         # Node and limit tables are model state: stored once, not regrown by each reader.
         forests = cut(isolation.grow_forests(rows, features))
         scored = isolation.anomaly_scores(rows, forests, features)
+        direction = models.fit_direction(rows, features, scope, gates)
+        volatility = models.fit_volatility(rows, swing_features, scope, gates)
+        metrics = {}
+        if direction:
+            metrics |= figures(models.direction_accuracy(rows, direction), "direction", direction)
+        if volatility:
+            metrics |= figures(models.volatility_r2(rows, volatility), "volatility", volatility)
         return Trained(
             features,
             forests,
             cut(isolation.cutoffs(scored)),
-            models.fit_direction(rows, features, scope, gates),
-            models.fit_volatility(rows, swing_features, scope, gates),
+            direction,
+            volatility,
             models.fit_regimes(table, symbols, gates),
+            metrics,
         )
     finally:
         rows.unpersist()
 
 
 def predict(table: DataFrame, trained: Trained) -> DataFrame:
+    """What the models say of the newest row of each symbol, and the regime of the market."""
     latest = latest_features(table)
     ready = latest.select(
         "symbol",
@@ -68,9 +96,14 @@ def predict(table: DataFrame, trained: Trained) -> DataFrame:
     flagged = isolation.flag_anomalies(
         isolation.anomaly_scores(ready, trained.forests, trained.features), trained.limits
     )
-    return models.predictions(
+    said = models.predictions(
         latest, trained.features, flagged, trained.direction, trained.volatility
     )
+    now = None
+    if trained.regimes is not None:
+        # One row: the newest window has one regime.
+        now = models.current_regime(table, trained.regimes).first()
+    return said.withColumn("regime", F.lit(now and now["regime"]).cast("string"))
 
 
 def cross_validate(

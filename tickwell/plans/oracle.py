@@ -352,8 +352,15 @@ def rolling() -> str:
 
 LINES = """
 lines AS (
-  SELECT doc_id, unnest(range(len(parts))) AS line_no, unnest(parts) AS line
-  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents))"""
+  SELECT event_id,
+         concat('[', strftime(ts, '%Y-%m-%dT%H:%M:%S'), '][',
+                CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARN' ELSE 'INFO' END,
+                '] ',
+                CASE event_id % 7 WHEN 0 THEN 'Starting pipeline' WHEN 1 THEN 'Polling by http_poller'
+                  WHEN 2 THEN 'response holds current_price' WHEN 3 THEN 'Sent to kafka'
+                  ELSE 'queue is empty' END,
+                ' in event ', event_id, ' ', props) AS line
+  FROM events)"""
 LINE_CLASS = """
   CASE WHEN contains(line, 'Starting pipeline') THEN 'pipeline_started'
        WHEN contains(line, 'Polling') OR contains(line, 'request') THEN 'polling'
@@ -746,7 +753,7 @@ FROM sizes QUALIFY fold > 1""",
     ),
     "log_last_errors": with_(
         LINES,
-        body="SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, substring(line, 1, 100) AS line "
-        "FROM lines WHERE contains(line, 'th') ORDER BY doc_id DESC, line_no DESC LIMIT 3",
+        body="SELECT event_id, substring(line, 1, 100) AS line "
+        "FROM lines WHERE contains(line, 'ERROR') ORDER BY event_id DESC LIMIT 3",
     ),
 }

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tickwell.operators.models import Models, Regimes
 from tickwell.plans.learning import Trained
 
-ENTRY = "symbol string, kind string, version bigint, path string, trained_at timestamp, metrics map<string,double>"
+ENTRY = "symbol string, kind string, version bigint, path string, trained_at timestamp, metrics map<string,double>, names array<string>"
 ALL_SYMBOLS = "all"
 
 
@@ -31,13 +31,13 @@ def save(
 ) -> None:
     """Models first, then the entry rows, so a version is listed only once it is complete.
 
-    Saving a version again replaces it.
+    Saving a version again replaces it. Without `metrics` the figures of the training are listed.
     """
+    listed = trained.metrics if metrics is None else metrics
     entries = []
 
     def entry(symbol: str, kind: str, path: str) -> None:
-        figures = dict((metrics or {}).get((symbol, kind), {}))
-        entries.append((symbol, kind, version, path, now, figures))
+        entries.append((symbol, kind, version, path, now, dict(listed.get((symbol, kind), {})), None))
 
     for kind, fitted in (("direction", trained.direction), ("volatility", trained.volatility)):
         for symbol, model in fitted.items():
@@ -51,8 +51,7 @@ def save(
     if trained.regimes is not None:
         path = f"{root}/models/market/regime/{version}"
         trained.regimes.model.write().overwrite().save(path)
-        named = {f"{i}:{n}": 1.0 for i, n in enumerate(trained.regimes.names)}
-        entries.append(("market", "regime", version, path, now, named))
+        entries.append(("market", "regime", version, path, now, {}, list(trained.regimes.names)))
     spark.createDataFrame(entries, ENTRY).coalesce(1).write.mode("overwrite").parquet(
         f"{root}/entries/version={version}"
     )
@@ -62,10 +61,14 @@ def entries(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(ENTRY).parquet(f"{root}/entries")
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
 def latest_version(spark: SparkSession, root: str) -> int | None:
     """The newest version, or none while nothing has been trained."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/entries")
-    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if not folder_exists(spark, f"{root}/entries"):
         return None
     return entries(spark, root).agg(F.max("version")).first()[0]
 
@@ -85,8 +88,7 @@ def load(
     regimes = None
     for row in listed:
         if row["kind"] == "regime":
-            names = [key.split(":", 1)[1] for key in sorted(row["metrics"])]
-            regimes = Regimes(KMeansModel.load(row["path"]), symbols, tuple(names))
+            regimes = Regimes(KMeansModel.load(row["path"]), symbols, tuple(row["names"]))
     return Trained(
         features,
         spark.read.parquet(f"{base}/forests"),

@@ -187,10 +187,22 @@ def positions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """The lines of every document, numbered within it."""
-    return table(spark, folder, "documents").select(
-        "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
+    """One log line per event: errors from its type, the activity from its number."""
+    level = F.when(F.col("event_type") == "error", "ERROR").when(F.col("event_type") == "signup", "WARN")
+    activity = F.pmod("event_id", F.lit(7))
+    said = (
+        F.when(activity == 0, "Starting pipeline")
+        .when(activity == 1, "Polling by http_poller")
+        .when(activity == 2, "response holds current_price")
+        .when(activity == 3, "Sent to kafka")
+        .otherwise("queue is empty")
     )
+    parts = [
+        F.lit("["), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("]["),
+        F.coalesce(level, F.lit("INFO")), F.lit("] "), said,
+        F.lit(" in event "), F.col("event_id").cast("string"), F.lit(" "), F.col("props"),
+    ]
+    return table(spark, folder, "events").select("event_id", F.concat_ws("", *parts).alias("line"))
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
