@@ -23,11 +23,13 @@ def spark():
 
 @pytest.fixture
 def sliced(spark):
-    """Every ordered input of more than 40 rows is cut; nothing is broadcast by hint."""
-    spark.conf.set("spark.tickwell.sliceRows", "40")
+    """Ordered inputs are cut into many slices and blocks; nothing is broadcast by hint."""
+    spark.conf.set("spark.tickwell.slices", "24")
+    spark.conf.set("spark.tickwell.blockRows", "40")
     spark.conf.set("spark.tickwell.broadcastRows", "0")
     yield spark
-    spark.conf.unset("spark.tickwell.sliceRows")
+    spark.conf.unset("spark.tickwell.slices")
+    spark.conf.unset("spark.tickwell.blockRows")
     spark.conf.unset("spark.tickwell.broadcastRows")
 
 

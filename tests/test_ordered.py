@@ -33,7 +33,6 @@ def by_symbol(rows):
 def test_lag_positions_and_running_max(sliced, price_frame, seed):
     rows = skewed(seed)
     series = ordered(price_frame(rows), "symbol", ("event_time", "event_id"))
-    assert not series.single
     assert series.frame.select("slice").distinct().count() > 5
     largest = series.frame.groupBy("slice").count().agg(F.max("count")).first()[0]
     assert largest < 200
@@ -66,5 +65,13 @@ def test_blocks_hold_a_whole_frame(spark, size, reach):
     assert biggest.agg(F.max("count")).first()[0] <= max(size, reach) + reach
 
 
-def test_small_input_stays_in_one_window(spark, price_frame):
-    assert ordered(price_frame(skewed(3, 20)), "symbol", ("event_time", "event_id")).single
+def test_few_rows_and_none_take_the_same_way(spark, price_frame):
+    rows = skewed(3, 20)
+    for frame, size in ((price_frame(rows), 20), (price_frame(rows).where("false"), 0)):
+        series = ordered(frame, "symbol", ("event_time", "event_id"))
+        assert series.part == ["symbol", "slice"]
+        done = series.lag("current_price", "before").positions().frame.collect()
+        assert len(done) == size
+        firsts = [r for r in done if r["position"] == 1]
+        assert all(r["before"] is None for r in firsts)
+        assert sum(r["before"] is None for r in done) == len(firsts)

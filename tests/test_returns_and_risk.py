@@ -10,9 +10,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickwell.operators.correlation import _by_gram_matrix, correlation, time_matrix
-from tickwell.operators.ordered import Ordered, ordered
+from tickwell.operators.ordered import ordered
 from tickwell.operators.returns import return_statistics, returns, tracking_error
-from tickwell.operators.tail_risk import _by_rank, _by_selection, var_cvar
+from tickwell.operators.tail_risk import var_cvar
 from tickwell.plans.risk import risk_document, risk_metrics
 from tickwell.config import Universe
 
@@ -27,7 +27,7 @@ def prices_from(returns_pct, start=100.0):
 def series_of(spark, values, symbol="A"):
     rows = [(symbol, i, float(v)) for i, v in enumerate(values)]
     frame = spark.createDataFrame(rows, "symbol string, event_id bigint, returns double")
-    return Ordered(frame, "symbol", ("event_id",), single=True)
+    return ordered(frame, "symbol", ("event_id",))
 
 
 def expected_tail(values, level):
@@ -73,16 +73,16 @@ def hard_values(kind, size=700):
 @pytest.mark.parametrize("kind", ["normal", "ties", "constant", "tiny", "huge"])
 def test_selection_equals_ranking(spark, kind):
     values = hard_values(kind)
-    frame = series_of(spark, values).frame.unionByName(series_of(spark, values[:10], "B").frame)
-    ranked = {r["symbol"]: r for r in _by_rank(frame, (0.95, 0.99), 10, 9).collect()}
-    chosen = {r["symbol"]: r for r in _by_selection(frame, (0.95, 0.99), 10, 9).collect()}
-    assert ranked.keys() == chosen.keys() == {"A", "B"}
+    both = series_of(spark, values).drop_slices().unionByName(series_of(spark, values[:10], "B").drop_slices())
+    found = var_cvar(ordered(both, "symbol", ("event_id",)), (0.95, 0.99), 10, 9)
+    chosen = {r["symbol"]: r for r in found.collect()}
+    assert chosen.keys() == {"A", "B"}
     for symbol, part in (("A", values), ("B", values[:10])):
         for level, tag in ((0.95, "95"), (0.99, "99")):
             var, cvar = expected_tail(part, level)
-            for row in (ranked[symbol], chosen[symbol]):
-                assert math.isclose(row[f"var_{tag}"], var, rel_tol=1e-6, abs_tol=2e-9)
-                assert math.isclose(row[f"cvar_{tag}"], cvar, rel_tol=1e-6, abs_tol=2e-9)
+            row = chosen[symbol]
+            assert math.isclose(row[f"var_{tag}"], var, rel_tol=1e-6, abs_tol=2e-9)
+            assert math.isclose(row[f"cvar_{tag}"], cvar, rel_tol=1e-6, abs_tol=2e-9)
 
 
 def test_returns_bridge_null_prices_and_skip_zero_prices(price_frame):

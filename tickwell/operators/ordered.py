@@ -4,9 +4,7 @@ A quote table has few symbols, so `Window.partitionBy("symbol")` would put a thi
 data into one task. Here a key is cut into contiguous slices of its own order by Spark's
 range partitioner (which samples, so hot symbols, hot times and ties are all balanced), the
 window runs inside a slice, and what crosses a slice border comes from a table holding one
-row per (key, slice).
-
-Inputs that fit a single slice keep the plain window plan.
+row per (key, slice). Every input takes this one way, whatever its size.
 """
 
 from __future__ import annotations
@@ -19,15 +17,16 @@ from pyspark.sql.window import Window, WindowSpec
 
 from tickwell.sources.durable import cut
 
-SLICE_SETTING = "spark.tickwell.sliceRows"
-SLICE_ROWS = 4_000_000
-# Beyond this many slices they grow instead: a shuffle pays for every (map, slice) pair, and
-# a window sort spills.
-MAX_SLICES = 40_000
+# Number of slices. Where it is unset, shuffles have the say: at most
+# spark.sql.shuffle.partitions slices, small ones joined by adaptive execution.
+SLICES_SETTING = "spark.tickwell.slices"
+# Rows of one block of a rolling frame.
+BLOCK_SETTING = "spark.tickwell.blockRows"
+BLOCK_ROWS = 4_000_000
 
 
-def slice_rows(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(SLICE_SETTING, str(SLICE_ROWS)))
+def block_rows(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(BLOCK_SETTING, str(BLOCK_ROWS)))
 
 
 @dataclass(frozen=True)
@@ -37,11 +36,10 @@ class Ordered:
     frame: DataFrame
     key: str
     order: tuple[str, ...]
-    single: bool
 
     @property
     def part(self) -> list[str]:
-        return [self.key] if self.single else [self.key, "slice"]
+        return [self.key, "slice"]
 
     @property
     def window(self) -> WindowSpec:
@@ -58,16 +56,14 @@ class Ordered:
         return replace(self, frame=self.frame.withColumns(columns))
 
     def settle(self) -> Ordered:
-        """Materialise a frame that several jobs read; small ones are cheaper to recompute."""
-        return self if self.single else replace(self, frame=cut(self.frame))
+        """Materialise a frame that several jobs read."""
+        return replace(self, frame=cut(self.frame))
 
     def drop_slices(self) -> DataFrame:
-        return self.frame if self.single else self.frame.drop("slice")
+        return self.frame.drop("slice")
 
     def lag(self, column: str, out: str) -> Ordered:
         """Value of `column` on the previous row of the key."""
-        if self.single:
-            return self.with_columns({out: F.lag(column).over(self.window)})
         marked = self.frame.withColumns(
             {out: F.lag(column).over(self.window), "_at": F.row_number().over(self.window)}
         )
@@ -84,8 +80,6 @@ class Ordered:
     def running_max(self, column: str, out: str) -> Ordered:
         """Largest value of `column` from the first row of the key to this one."""
         inside = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        if self.single:
-            return self.with_columns({out: F.max(column).over(inside)})
         before = self.by_slice.rowsBetween(Window.unboundedPreceding, -1)
         peaks = (
             self.frame.groupBy(*self.part)
@@ -102,14 +96,6 @@ class Ordered:
 
     def positions(self, out: str = "position", size: str = "size") -> Ordered:
         """1-based position of each row within its key, and the number of rows of the key."""
-        if self.single:
-            whole = Window.partitionBy(self.key)
-            return self.with_columns(
-                {
-                    out: F.row_number().over(self.window).cast("long"),
-                    size: F.count("*").over(whole),
-                }
-            )
         before = self.by_slice.rowsBetween(Window.unboundedPreceding, -1)
         counts = (
             self.frame.groupBy(*self.part)
@@ -132,17 +118,12 @@ class Ordered:
 
 
 def ordered(df: DataFrame, key: str, order: tuple[str, ...]) -> Ordered:
-    """Cut `df` into slices of about `spark.tickwell.sliceRows` rows by (key, order)."""
-    limit = slice_rows(df)
-    rows = df.count()
-    if rows <= limit:
-        return Ordered(df, key, order, single=True)
-    wanted = min(-(-rows // limit), MAX_SLICES)
-    ranged = df.repartitionByRange(wanted, key, *order).withColumn(
-        "slice", F.spark_partition_id()
-    )
+    """Cut `df` into slices of about equal size by (key, order)."""
+    wanted = df.sparkSession.conf.get(SLICES_SETTING, None)
+    columns = (key, *order) if wanted is None else (int(wanted), key, *order)
+    ranged = df.repartitionByRange(*columns).withColumn("slice", F.spark_partition_id())
     # The slice number is a property of this one shuffle, so it is fixed on disk before use.
-    return Ordered(cut(ranged), key, order, single=False)
+    return Ordered(cut(ranged), key, order)
 
 
 def blocks(positioned: DataFrame, key: str, position: str, reach: int, rows: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickwell.operators.ordered import Ordered, blocks, ordered, slice_rows
+from tickwell.operators.ordered import Ordered, blocks, ordered, block_rows
 from tickwell.operators.returns import TICK, TIME
 from tickwell.operators.tail_risk import var_cvar, var_rank
 from tickwell.operators.windows import arrival_key
@@ -112,7 +112,7 @@ def rolling_correlation(
     """
     placed = ordered(buckets.withColumn("series", F.lit("all")), "series", (time,)).positions()
     cut_rows = placed.drop_slices()
-    spread = blocks(cut_rows, "series", "position", k - 1, slice_rows(buckets))
+    spread = blocks(cut_rows, "series", "position", k - 1, block_rows(buckets))
     frame = Window.partitionBy("block").orderBy("position").rowsBetween(-(k - 1), 0)
     entries = []
     for a, b in pairs:
@@ -141,7 +141,7 @@ def var_backtest(
 ) -> DataFrame:
     """Share of returns below the rolling value at risk of the `k` returns before them."""
     placed = series.positions().drop_slices()
-    spread = blocks(placed, "symbol", "position", k, slice_rows(placed))
+    spread = blocks(placed, "symbol", "position", k, block_rows(placed))
     frame = Window.partitionBy("symbol", "block").orderBy("position").rowsBetween(-k, -1)
     history = F.sort_array(F.collect_list("returns").over(frame))
     floor = F.element_at(F.col("history"), var_rank(F.lit(k), level).cast("int"))

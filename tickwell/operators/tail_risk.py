@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickwell.config import GATES
-from tickwell.operators.ordered import Ordered, slice_rows
+from tickwell.operators.ordered import Ordered
 from tickwell.sources.durable import broadcast_if_small, cut
 
 LEVELS = (0.95, 0.99)
@@ -37,40 +37,15 @@ def var_cvar(
     min_rows: int = GATES.returns,
     digits: int = 4,
 ) -> DataFrame:
-    """One row per symbol with `var_<level>` and `cvar_<level>` for each level."""
-    if series.single:
-        return _by_rank(series.frame, levels, min_rows, digits)
-    return _by_selection(series.frame, levels, min_rows, digits)
+    """One row per symbol with `var_<level>` and `cvar_<level>` for each level.
 
-
-def _by_rank(rows: DataFrame, levels, min_rows: int, digits: int) -> DataFrame:
-    symbol = Window.partitionBy("symbol")
-    ranked = rows.select(
-        "symbol",
-        "returns",
-        F.row_number().over(symbol.orderBy("returns")).alias("rank"),
-        F.count("*").over(symbol).alias("size"),
-    ).where(F.col("size") >= min_rows)
-    columns = []
-    for level in levels:
-        at = var_rank(F.col("size"), level)
-        value = F.max(F.when(F.col("rank") == at, F.col("returns")))
-        tail = F.avg(F.when(F.col("rank") <= at, F.col("returns")))
-        columns.append(F.round(F.abs(value), digits).alias(f"var_{suffix(level)}"))
-        columns.append(F.round(F.abs(tail), digits).alias(f"cvar_{suffix(level)}"))
-    return ranked.groupBy("symbol").agg(*columns)
-
-
-def _by_selection(rows: DataFrame, levels, min_rows: int, digits: int) -> DataFrame:
-    """The same numbers without sorting a symbol: narrow down to the cell holding the rank.
-
-    A histogram per symbol (log-spaced cells, monotone in the return) gives counts and sums;
-    running totals name the cell that holds each rank and everything below it. The rows of
+    No symbol is sorted. A histogram per symbol (log-spaced cells, monotone in the return) gives
+    counts and sums; running totals name the cell that holds each rank and everything below it. The rows of
     that cell are cut once more into equal pieces, and the rows of the chosen piece are
     counted by value. Each step is a partial aggregation with bounded groups, and the result
     is exact.
     """
-    rows = rows.select("symbol", "returns")
+    rows = series.frame.select("symbol", "returns")
     log_cell = F.floor(F.signum("returns") * F.log1p(F.abs("returns") * SCALE) * CELLS)
     celled = rows.withColumn("cell", log_cell.cast("long"))
 
