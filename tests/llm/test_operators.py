@@ -230,6 +230,11 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contained(docs, bench.where("false")).count() == 0
     kept = decontaminate.without_items(docs, bench)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in TEXTS} - {w[0] for w in want}
+    item = items[0][1]
+    rows = [(None, item), (None, "clean words of no item at all"), (7, "other " + item), (7, "other words"), (8, None)]
+    loose = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = decontaminate.without_items(loose, bench.where("item_id = 1"))
+    assert {tuple(r) for r in kept.collect()} == {rows[1], rows[3], rows[4]}
 
 
 @pytest.mark.parametrize("order", [1, 2, 3])

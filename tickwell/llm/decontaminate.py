@@ -74,15 +74,8 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     return made.select("item_id", "shingles", F.slice("hashes", F.lit(1), length).alias("sketch"))
 
 
-def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_shingles, n_shared): items of which a document holds 0.8 or more.
-
-    One row for each pair. Items and documents without words take part in no pair; an item of fewer
-    than five words is found only in a document of exactly these words. Repeated rows give one pair;
-    where rows share a doc_id, or an item_id, the pair with the most shared shingles counts. Documents
-    without a doc_id are reported under null. Texts are searched whole. A sketch is one hash for about
-    five words of an item; up to a set number of them is broadcast, more are shuffled.
-    """
+def verified(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, part, item_id, n_shingles, n_shared): pairs with 0.8 or more, `part` the text's hash."""
     items = cut(items_of(benchmark)).withColumn("item_part", F.monotonically_increasing_id())
     items = cut(items)
     sketches = items.select("item_part", F.explode("sketch").alias("hash"))
@@ -95,23 +88,41 @@ def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     candidates = met.select(F.col("doc_id").alias("met_id"), F.col("part").alias("met_part"), "item_part")
     same = F.col("doc_id").eqNullSafe(F.col("met_id")) & (F.col("part") == F.col("met_part"))
-    texts = rows.join(candidates, same).select("doc_id", "item_part", words_of("text").alias("words"))
+    texts = rows.join(candidates, same).select("doc_id", "part", "item_part", words_of("text").alias("words"))
     pairs = texts.join(items.select("item_part", "item_id", "shingles"), "item_part")
     counted = pairs.select(
         "doc_id",
+        "part",
         "item_id",
         F.size("shingles").cast("long").alias("n_shingles"),
         F.size(F.array_intersect("shingles", shingles("words"))).cast("long").alias("n_shared"),
     )
-    enough = counted.where("5 * n_shared >= 4 * n_shingles")
+    return counted.where("5 * n_shared >= 4 * n_shingles")
+
+
+def contained(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, item_id, n_shingles, n_shared): items of which a document holds 0.8 or more.
+
+    One row for each pair. Items and documents without words take part in no pair; an item of fewer
+    than five words is found only in a document of exactly these words. Repeated rows give one pair;
+    where rows share a doc_id, or an item_id, the pair with the most shared shingles counts. Documents
+    without a doc_id are reported under null. Texts are searched whole. A sketch is one hash for about
+    five words of an item; up to a set number of them is broadcast, more are shuffled.
+    """
+    enough = verified(docs, benchmark)
     best = F.max_by(F.struct("n_shingles", "n_shared"), F.struct(F.col("n_shared") / F.col("n_shingles"), "n_shared"))
     return enough.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def without_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no test item, with the columns they came with."""
-    bad = contained(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    """The documents that hold no test item, with the columns they came with.
+
+    Rows without a doc_id are told apart by their text, as are rows that share a doc_id.
+    """
+    pairs = verified(docs, benchmark)
+    bad = pairs.select(F.col("doc_id").alias("bad_id"), F.col("part").alias("bad_part")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("bad_id")) & (F.xxhash64(text_of()) == F.col("bad_part"))
+    return docs.join(bad, same, "left_anti")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
