@@ -31,12 +31,13 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, the token ids of each text and their number."""
-    found = bpe.tokenize(docs.select("doc_id", "text"), bpe.vocabulary(), decode=False)
+    """doc_id, the token ids of each text, their number, and the text decoded from them."""
+    found = bpe.tokenize(docs.select("doc_id", "text"), bpe.vocabulary())
     return found.select(
         "doc_id",
         F.size("tokens.ids").cast("long").alias("n_tokens"),
         F.col("tokens.ids").alias("ids"),
+        F.col("tokens.decoded").alias("decoded"),
     )
 
 
@@ -45,7 +46,7 @@ STAGES = [
     ("SimHash near-dedup", near_duplicates),
     ("benchmark decontamination", decontamination),
     ("secret scans", secret_scan),
-    ("BPE encoding", encoding),
+    ("BPE encoding and decoding", encoding),
 ]
 
 #: The learned rules and the encoding have no SQL; the tests hold run() against a plain version.

@@ -408,6 +408,18 @@ def test_pipeline(spark, docs, tmp_path):
     assert got == {i: reader.encode(t, add_special_tokens=False).ids for i, t in left} and got
 
 
+def test_pipeline_decodes_what_it_encodes(spark, docs, monkeypatch):
+    monkeypatch.setattr(bpe, "SLICE", 500)  # many slices of one Arrow batch
+    reader = Tokenizer.from_file(public_tokenizers.path(bpe.VOCABULARY))
+    name, stage = corpus_pipeline.STAGES[-1]
+    got = Counter((r.doc_id, r.n_tokens, tuple(r.ids), r.decoded) for r in stage(spark, docs, "").collect())
+    want = Counter()
+    for i, t in TEXTS:
+        ids = reader.encode(t or "", add_special_tokens=False).ids
+        want[i, len(ids), tuple(ids), reader.decode(ids, skip_special_tokens=False)] += 1
+    assert got == want and "decoding" in name
+
+
 def test_digests_of_the_queries(spark):
     """The thin queries on the smallest tables: one row for each document, digests of what was found."""
     from tickwell.llm.queries import QUERIES

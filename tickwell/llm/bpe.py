@@ -252,9 +252,9 @@ def tokenize(
             return pa.StructArray.from_arrays([lists, texts], fields=list(kind))
 
         for texts in batches:
-            # Each slice is packed as soon as it is done; only packed results pile up.
-            parts = [made([])] + [made(list(encoder.encode(part))) for part in slices(texts, SLICE)]
-            yield pa.concat_arrays(parts)
+            # Each slice is handed on as soon as it is done, so no results pile up.
+            for part in slices(texts, SLICE):
+                yield made(list(encoder.encode(part)))
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return docs.withColumn(into, F.arrow_udf(run, RESULT)(text_of(column)))
