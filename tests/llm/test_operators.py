@@ -257,6 +257,25 @@ def plain_model(texts):
     return counts
 
 
+def whole_score(counts, text):
+    """Like plain_score, but from all n-grams; one with a context seen once has the share 0.25."""
+    tokens, score = [*(text or "").encode().lower().split(), b"\n"], 0.0
+    follow = [Counter(), Counter(), Counter()]
+    for n in (1, 2):
+        for gram, c in counts[n].items():
+            follow[n][gram[:-1]] += (c - 0.75) / counts[n - 1][gram[:-1]]
+    for k, token in enumerate(tokens):
+        p = (counts[0][(token,)] + 0.1) / (sum(counts[0].values()) + 0.1 * (len(counts[0]) + 1))
+        for n in (1, 2):
+            context = tuple(tokens[k - n : k])
+            if k < n or context not in counts[n - 1]:
+                break
+            c = counts[n][(*context, token)]
+            p = (c - 0.75 if c else 0.0) / counts[n - 1][context] + (1 - follow[n][context]) * p
+        score += math.log10(p)
+    return score
+
+
 def plain_score(counts, text):
     total, kinds, score, base = sum(counts[0].values()), len(counts[0]), 0.0, 0.0
     kept = [counts[0], *({g: c for g, c in level.items() if c >= 2} for level in counts[1:])]
@@ -294,6 +313,20 @@ def test_language_model(spark, docs, none):
     assert (row.n_known, row.base_score, row.score) == (0, 0.0, 0.0)
 
 
+def test_language_model_query_keeps_lone_ngrams(spark, tmp_path):
+    rows = [(i, t) for i, t in TEXTS if i is not None]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = language_model.op7(spark, str(tmp_path)).collect()
+    counts = plain_model(t for i, t in rows if zlib.crc32(str(i).encode()) % 10)
+    want = {(i, len((t or "").split())): whole_score(counts, t) for i, t in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id, r.n_tokens - 1], abs=0.04 * r.n_tokens)
+    # Lone n-grams decide: without them a training text is far less likely.
+    long = next(t for i, t in rows if i == 7)
+    assert whole_score(counts, long) - plain_score(counts, long)[1] > 0.1 * len(long.split())
+
+
 def test_toxicity(spark, docs, none):
     rng = random.Random(5)
     rows = []

@@ -1,7 +1,7 @@
 """Language-model scoring by an Elias-Fano n-gram trie.
 
-Level one lists the hashes of all training words, level n the n-grams that occur twice or more. An
-n-gram is a number relative to its context: context id times the number of words, plus word id. Each
+Level one lists the hashes of all training words, level n the n-grams that occur `least` times or more;
+the query keeps all of them. An n-gram is a number relative to its context: context id times the number of words, plus word id. Each
 level is cut by context into shards, which are files in the shared folder: an Elias-Fano list of these
 numbers, whose places are the ids that the next level builds on, one byte of quantised discounted
 probability for each n-gram, and one of back-off weight for each context. Scoring maps the files into
@@ -26,7 +26,7 @@ from tickwell.llm.elias_fano import EliasFano, local, store
 from tickwell.shipping import ship
 
 ORDER = 3
-#: n-grams of two words or more are kept from this count on; lone ones go to the back-off mass.
+#: Where train() is not told otherwise, n-grams of two words or more are kept from this count on.
 LEAST = 2
 DISCOUNT = 0.75
 ADDED = 0.1
@@ -185,7 +185,7 @@ def read_run(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.concatenate((np.array([first], np.uint64), gaps)), dtype=np.uint64), counts
 
 
-def grow(texts: DataFrame, model: Model, path: str, shards: int) -> Model:
+def grow(texts: DataFrame, model: Model, path: str, shards: int, least: int) -> Model:
     """Counts the n-grams one word longer than the model's and adds their level.
 
     Runs of distinct keys with counts are exchanged, a few bytes for each key; a frequent n-gram
@@ -219,7 +219,7 @@ def grow(texts: DataFrame, model: Model, path: str, shards: int) -> Model:
         for shard, held in runs.items():
             parts = [read_run(r) for r in held]
             keys, counts = summed(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
-            row = write_shard(model, folder, shard, level, keys, counts, edges, scale)
+            row = write_shard(model, folder, shard, level, keys, counts, edges, scale, least)
             yield pa.RecordBatch.from_arrays([pa.array([v], pa.int64()) for v in (shard, *row)], ["shard", "size", "width", "total"])
 
     runs = texts.mapInArrow(count, "shard int, run binary").repartitionById(shards, "shard")
@@ -230,7 +230,7 @@ def grow(texts: DataFrame, model: Model, path: str, shards: int) -> Model:
         if shard in rows:
             size, width, total = rows[shard]["size"], rows[shard]["width"], rows[shard]["total"]
         else:
-            size, width, total = write_shard(model, folder, shard, level, none, none.astype(np.int64), edges, scale)
+            size, width, total = write_shard(model, folder, shard, level, none, none.astype(np.int64), edges, scale, least)
         sizes[shard], widths[shard] = size, width
         tokens += total if level == 1 else 0
     grown = Level(folder, contexts, sizes, widths)
@@ -244,14 +244,14 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first)
 
 
-def write_shard(model: Model, folder: str, shard: int, level: int, keys: np.ndarray, counts: np.ndarray, edges: list[int], scale: int) -> tuple[int, int, int]:
+def write_shard(model: Model, folder: str, shard: int, level: int, keys: np.ndarray, counts: np.ndarray, edges: list[int], scale: int, least: int) -> tuple[int, int, int]:
     """Files of one shard; returns its size, the width of its low bits and the sum of its counts."""
     total = int(counts.sum())
     keys = keys - np.uint64(edges[shard] * scale)
     span = edges[shard + 1] - edges[shard]
     prob = back = np.empty(0, np.uint8)
     if level > 1:
-        kept = counts >= LEAST
+        kept = counts >= least
         keys, counts = keys[kept], counts[kept]
         context = (keys // np.uint64(scale)).astype(np.int64)
         often = context_counts(model.levels[-1], edges[shard], edges[shard + 1])
@@ -262,7 +262,7 @@ def write_shard(model: Model, folder: str, shard: int, level: int, keys: np.ndar
     os.makedirs(folder, exist_ok=True)
     prefix = f"{folder}/{shard}"
     ef.save(prefix)
-    for name, values in (("count", counts), ("prob", prob), ("back", back)):
+    for name, values in (("count", narrow(counts)), ("prob", prob), ("back", back)):
         store(f"{prefix}-{name}.npy", values)
     return ef.size, ef.width, total
 
@@ -278,13 +278,16 @@ def context_counts(level: Level, begin: int, end: int) -> np.ndarray:
     return np.concatenate(parts)
 
 
-def train(docs: DataFrame, path: str, order: int = ORDER, column: str = "text") -> Model:
-    """A model of all whole texts of `docs`, its files below `path` in the shared folder."""
+def train(docs: DataFrame, path: str, order: int = ORDER, column: str = "text", least: int = LEAST) -> Model:
+    """A model of all whole texts of `docs`, its files below `path` in the shared folder.
+
+    With `least=1` it holds every n-gram of the texts.
+    """
     ship(docs.sparkSession)
     texts = docs.select(text_of(column).alias("text"))
     model = Model()
     for _ in range(order):
-        model = grow(texts, model, path, partitions(docs.sparkSession))
+        model = grow(texts, model, path, partitions(docs.sparkSession), least)
     return model
 
 
@@ -334,7 +337,7 @@ def held_out(every: int, column: str = "doc_id") -> Column:
 
 def op7(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.where(~held_out(10)), scratch(spark, "language-model"))
+    model = train(docs.where(~held_out(10)), scratch(spark, "language-model"), least=1)
     scored = with_scores(docs, model, "scores")
     return scored.select(
         "doc_id",
