@@ -365,6 +365,24 @@ def test_pages(spark):
     assert pages.with_main_text(frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("before", "after"),
+    [
+        ("<head><title>A <b> title</title><meta charset=x><link rel=y><body>", ""),
+        ("<html><head><title>A title</title><noscript><img></noscript><article>", "</article>"),
+        ("<body><article><p><svg/></p>", "</article>"), ("<body><article><math />", "</article><p><math><mi>x</mi></math></p>"),
+        ("<body><article><p><svg><path d=z></p>", "</article>"), ("<body><article><svg><path><p>", "<svg></svg></article>"),
+        ("<div><select><option>One</div>", "<div><select><option>x</select></div>"), ("<div><object data=z></div>", "<object>y</object>"),
+        ("<iframe src=x>", ""), ("<template><p>x</p></template>", ""), ("<svg><foreignObject><div>x</div></foreignObject></svg>", ""),
+        ("<noscript></div>x</noscript>", "<script>unclosed"), ("<head><title>x</title></head><body>", "<textarea>unclosed"),
+    ],
+)
+def test_pages_lose_no_text_to_open_elements(before, after):
+    one, two = say(40), say(50)
+    tree = pages.fit(np.array(pages.LABELLED, float))
+    assert pages.main_text(f"{before}<p>{one}</p><p>{two}</p>{after}", tree) == f"{one}\n{two}"
+
+
 def plain_print(text):
     words = (text or "").encode().lower().split()
     runs = [b" ".join(words[k : k + 3]) for k in range(len(words) - 2)] if len(words) > 2 else [b" ".join(words)] * bool(words)

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from tickwell.llm.common import table, text_of
 from tickwell.shipping import ship
 
-# Markup whose content is never text, comments, declarations, tags.
+# Comments, elements that run to the end of the page if they are not closed, declarations, tags.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|svg|math|iframe|object|textarea|select|head)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
     r"""|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>"""
     r"|</?[a-zA-Z][^>]*>",
@@ -44,6 +44,14 @@ BOXES = frozenset(
 )
 OUTER = frozenset("nav aside footer form menu dialog fieldset button label legend".split())
 INNER = frozenset(["article", "main"])
+#: Their content is never text. Like `head` they end at their end tag or with their container.
+LEFT_OUT = frozenset("template object select svg math".split())
+#: Their content is no markup, so only their end tag counts.
+PLAIN_CONTENT = frozenset(["noscript", "iframe"])
+#: What may stand in a head; any other tag, and text, ends it.
+IN_HEAD = frozenset("head html base basefont bgsound link meta noframes noscript script style template title".split())
+#: Tags that cannot stand in a drawing or a formula and end it.
+NO_DRAWING = BOXES | frozenset("b big br code dd dt em embed h1 h2 h3 h4 h5 h6 hr i img p pre s small span strong sub sup tt u var".split())
 #: Words in a class, id or role that mark a container as no part of the article.
 NOTICES = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments consent "
@@ -52,7 +60,7 @@ NOTICES = frozenset(
     "popup promo promoted promotion related reply replies respond search share sharing sidebar signup sitenav skip "
     "social sponsor sponsored subscribe tags toolbar topbar widget widgets".split()
 )
-PLAIN, INSIDE, OUTSIDE = 0, 1, 2
+PLAIN, INSIDE, OUTSIDE, SKIPPED = 0, 1, 2, 3
 
 FEATURES = ("words", "links", "before", "links_before", "after", "links_after", "zone")
 
@@ -148,14 +156,49 @@ class Page:
             self.blocks.append((" ".join(words), len(words), min(links, len(words)), self.zone))
         self.text, self.linked = [], []
 
+    def in_head(self) -> bool:
+        return self.zone == SKIPPED and self.open[-1][0] == "head"
+
     def words(self, piece: str) -> None:
-        if piece:
+        if self.in_head() and piece.strip():
+            self.leave("head")
+        if piece and self.zone != SKIPPED:
             self.text.append(piece)
             if self.link:
                 self.linked.append(piece)
 
-    def tag(self, name: str, close: bool, rest: str) -> None:
-        if name == "a":
+    def left_out(self, name: str, close: bool, rest: str) -> bool:
+        """Whether a tag lies in content that is left out, once it has ended what it cannot stand in."""
+        while self.zone == SKIPPED:
+            inner = self.open[-1][0]
+            if close:
+                at = max((k for k, (n, _) in enumerate(self.open) if n == name), default=-1)
+                if at >= 0 and self.open[at][1] != SKIPPED and name not in LEFT_OUT and name != "head":
+                    return False  # the container ends
+                self.leave(name)
+                return True
+            if inner == "head" and name not in IN_HEAD or inner in ("svg", "math") and name in NO_DRAWING:
+                self.leave(inner)
+            elif name == "body" and any(n == "head" for n, _ in self.open):
+                self.leave("head")
+            else:
+                if (name in BOXES or name in LEFT_OUT or name == "foreignobject") and not rest.endswith("/"):
+                    self.open.append((name, self.zone))
+                return True
+        return False
+
+    def tag(self, name: str, close: bool, rest: str, ends: bool) -> None:
+        """`ends`: the page has an end tag of that name further on."""
+        if self.left_out(name, close, rest):
+            return
+        if name in LEFT_OUT or name == "head":
+            if name == "head":
+                self.end_block()
+            empty = name in ("svg", "math") and rest.endswith("/")
+            if not close and not empty and (ends or name == "head"):
+                self.open.append((name, self.zone))
+                self.zone = SKIPPED
+        elif name == "a":
             self.link = not close
         elif name in SPACE:
             self.text.append(" ")
@@ -193,14 +236,25 @@ class Page:
 
 def blocks_of(source: str) -> list[tuple[str, int, int, int]]:
     """(text, words, linked words, zone) of each block in page order."""
-    page, at = Page(), 0
-    for token in TOKEN.finditer(source):
-        page.words(source[at : token.start()])
+    tokens = list(TOKEN.finditer(source))
+    last = {t["name"].lower(): k for k, t in enumerate(tokens) if t["close"]}
+    page, at, until = Page(), 0, ""
+    for number, token in enumerate(tokens):
+        if not until:
+            page.words(source[at : token.start()])
         at = token.end()
-        if token["name"]:
-            page.tag(token["name"].lower(), bool(token["close"]), token["rest"])
-        elif token["raw"]:
-            page.end_block() if token["raw"].lower() in ("head", "iframe") else None
+        if not token["name"]:
+            continue
+        name, close = token["name"].lower(), bool(token["close"])
+        ends = last.get(name, -1) > number
+        if until:
+            until = "" if close and name == until else until
+        elif not close and ends and (name in PLAIN_CONTENT or name == "title" and page.in_head()):
+            until = name
+            if name == "iframe" and page.zone != SKIPPED:
+                page.end_block()
+        else:
+            page.tag(name, close, token["rest"], ends)
     page.words(source[at:])
     page.end_block()
     return page.blocks
@@ -221,7 +275,8 @@ def with_main_text(pages: DataFrame, into: str = "text", column: str = "html") -
     """Adds the main text of each whole page; other columns stay, one called `into` is replaced.
 
     Null and empty pages, and pages without article blocks, give the empty text. Broken markup is read
-    as far as it goes: stray end tags do nothing, open elements end with their container. Repeated
+    as far as it goes: stray end tags do nothing, open elements end with their container, a head without
+    an end tag at the first text or tag that cannot stand in it. Repeated
     rows are read one by one. No shuffle.
     """
     ship(pages.sparkSession)
