@@ -313,6 +313,19 @@ def test_language_model(spark, docs, none):
     assert (row.n_known, row.base_score, row.score) == (0, 0.0, 0.0)
 
 
+def test_rare_successors_of_a_very_common_context(tmp_path, monkeypatch):
+    often = 4 * 10**9
+    monkeypatch.setattr(language_model, "context_counts", lambda level, begin, end: np.array([often]))
+    keys, counts = np.arange(3, dtype=np.uint64), np.array([often - 3, 2, 1])
+    model = language_model.Model([None])
+    size, width, _ = language_model.write_shard(model, str(tmp_path), 0, 2, keys, counts, [0, 1], 4, 1)
+    level = language_model.Level(str(tmp_path), np.array([0, 1], np.uint64), np.array([size]), np.array([width]))
+    _, found = level.look(np.zeros(3, np.uint64), keys, 4)
+    want = (counts - 0.75) / often
+    assert np.abs(np.log10(found["prob"]) - np.log10(want)).max() < 0.025
+    assert np.log10(found["back"]) == pytest.approx([math.log10(2.25 / often)] * 3, abs=0.025)
+
+
 def test_language_model_query_keeps_lone_ngrams(spark, tmp_path):
     rows = [(i, t) for i, t in TEXTS if i is not None]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")

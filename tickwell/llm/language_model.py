@@ -4,7 +4,8 @@ Level one lists the hashes of all training words, level n the n-grams that occur
 the query keeps all of them. An n-gram is a number relative to its context: context id times the number of words, plus word id. Each
 level is cut by context into shards, which are files in the shared folder: an Elias-Fano list of these
 numbers, whose places are the ids that the next level builds on, one byte of quantised discounted
-probability for each n-gram, and one of back-off weight for each context. Scoring maps the files into
+probability for each n-gram, and one of back-off weight for each context; a shard's smallest value sets
+the range of its bytes. Scoring maps the files into
 memory, so what a task holds is bounded, and looks up all words of a slice of texts at once.
 """
 
@@ -30,22 +31,21 @@ ORDER = 3
 LEAST = 2
 DISCOUNT = 0.75
 ADDED = 0.1
-#: Steps of the quantised log10 probabilities: one byte each.
-STEP = 1 / 32
 #: Characters of text handled together.
 SLICE = 4_000_000
 #: The end of a text is a token of its own; no word contains a line break.
 END = b"\n"
 
 
-def codes(values: np.ndarray) -> np.ndarray:
-    """Log10 values in [-255/32, 0] as bytes."""
-    with np.errstate(divide="ignore"):
-        return np.clip(np.rint(-np.log10(values) / STEP), 0, 255).astype(np.uint8)
+def codes(values: np.ndarray) -> tuple[np.ndarray, float]:
+    """Log10 of values in (0, 1] as bytes, and their step, which makes the smallest value the last byte."""
+    logs = np.maximum(-np.log10(values), 0)
+    step = float(logs.max(initial=0)) / 255 or 1.0
+    return np.rint(logs / step).astype(np.uint8), step
 
 
-def decoded(values: np.ndarray) -> np.ndarray:
-    return 10.0 ** (-STEP * values.astype(np.float64))
+def decoded(values: np.ndarray, step: float) -> np.ndarray:
+    return 10.0 ** (-step * values.astype(np.float64))
 
 
 @dataclass
@@ -69,7 +69,7 @@ class Level:
         if shard not in self.opened:
             prefix = f"{self.path}/{shard}"
             ef = EliasFano.load(prefix, int(self.sizes[shard]), int(self.widths[shard]))
-            arrays = {n: np.load(f"{prefix}-{n}.npy", mmap_mode="r") for n in ("count", "prob", "back")}
+            arrays = {n: np.load(f"{prefix}-{n}.npy", mmap_mode="r") for n in ("count", "prob", "back", "steps")}
             self.opened[shard] = (ef, arrays)
         return self.opened[shard]
 
@@ -93,8 +93,8 @@ class Level:
             safe = place[hit]
             found["count"][a:b][hit] = arrays["count"][safe]
             if words:
-                found["prob"][a:b][hit] = decoded(arrays["prob"][safe])
-                found["back"][a:b] = decoded(arrays["back"][relative.astype(np.int64)])
+                found["prob"][a:b][hit] = decoded(arrays["prob"][safe], arrays["steps"][0])
+                found["back"][a:b] = decoded(arrays["back"][relative.astype(np.int64)], arrays["steps"][1])
         return ids, found
 
 
@@ -250,19 +250,22 @@ def write_shard(model: Model, folder: str, shard: int, level: int, keys: np.ndar
     keys = keys - np.uint64(edges[shard] * scale)
     span = edges[shard + 1] - edges[shard]
     prob = back = np.empty(0, np.uint8)
+    steps = (1.0, 1.0)
     if level > 1:
         kept = counts >= least
         keys, counts = keys[kept], counts[kept]
         context = (keys // np.uint64(scale)).astype(np.int64)
         often = context_counts(model.levels[-1], edges[shard], edges[shard + 1])
-        share = (counts - DISCOUNT) / often[context]
-        prob = codes(share)
-        back = codes(np.maximum(1 - np.bincount(context, share, minlength=span), 1e-7))
+        # What the successors leave, from whole counts: above zero at any size.
+        rest = often - np.bincount(context, counts, minlength=span) + DISCOUNT * np.bincount(context, minlength=span)
+        prob, prob_step = codes((counts - DISCOUNT) / often[context])
+        back, back_step = codes(rest / often)
+        steps = (prob_step, back_step)
     ef = EliasFano.build(keys, span * scale)
     os.makedirs(folder, exist_ok=True)
     prefix = f"{folder}/{shard}"
     ef.save(prefix)
-    for name, values in (("count", narrow(counts)), ("prob", prob), ("back", back)):
+    for name, values in (("count", narrow(counts)), ("prob", prob), ("back", back), ("steps", np.array(steps))):
         store(f"{prefix}-{name}.npy", values)
     return ef.size, ef.width, total
 
