@@ -64,6 +64,15 @@ def test_next_target_looks_one_window_ahead(spark):
     assert [r["direction_label"] for r in rows] == [1.0, 0.0, 1.0, 0.0, 1.0]
 
 
+def test_next_target_keeps_windows_before_a_null_volatility(spark):
+    frame = synthetic(spark, {"A": 6}).withColumn(
+        "intraday_volatility", F.when(F.col("window_start") != 3, F.col("intraday_volatility"))
+    )
+    rows = models.training_rows(frame, target="next").orderBy("window_start").collect()
+    assert [r["window_start"] for r in rows] == [0, 1, 2, 3, 4]
+    assert rows[2]["volatility_label"] == 0.0 and rows[2]["direction_label"] == 1.0
+
+
 def test_split_does_not_depend_on_partitioning(spark, features):
     rows = models.training_rows(features)
     one = {tuple(r) for r in rows.coalesce(1).where(models.in_training()).select("symbol", "window_start").collect()}

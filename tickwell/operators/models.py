@@ -50,14 +50,16 @@ def training_rows(rows: DataFrame, target: str = "same", gates: Gates = GATES) -
     if target == "next":
         after = Window.partitionBy("symbol").orderBy("window_start")
         momentum, volatility = F.lead(momentum).over(after), F.lead(volatility).over(after)
-    labelled = rows.withColumns(
-        {
-            "direction_label": (F.coalesce(momentum, F.lit(0.0)) > 0).cast("double"),
-            "volatility_label": volatility,
-        }
-    )
+        following = F.lead("window_start").over(after)
+    labels = {
+        "direction_label": (F.coalesce(momentum, F.lit(0.0)) > 0).cast("double"),
+        "volatility_label": volatility,
+    }
     if target == "next":
-        labelled = labelled.where(F.col("volatility_label").isNotNull())
+        # Only a symbol's last window has none after it; a next volatility may be NULL anywhere.
+        labelled = rows.withColumns(labels | {"following": following}).where("following IS NOT NULL")
+    else:
+        labelled = rows.withColumns(labels)
     sizes = rows.groupBy("symbol").agg(F.count("*").alias("rows"))
     enough = sizes.where(F.col("rows") >= gates.symbol)
     return (
