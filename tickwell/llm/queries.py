@@ -12,6 +12,7 @@ from tickwell.llm.secrets import op2
 from tickwell.llm.simhash import op10
 from tickwell.llm.suffixes import op1
 from tickwell.llm.toxicity import op8
+from tickwell.llm.whitening import op12
 
 QUERIES = {
     "op1_suffixes": op1,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8,
     "op9_main_text": op9,
     "op10_simhash": op10,
+    "op12_whitening": op12,
 }
 
 ORACLE = {"op4_preferences": OP4_SQL, "op6_decontamination": OP6_SQL}
