@@ -10,6 +10,7 @@ from tickwell.llm.pages import op9
 from tickwell.llm.quality import op5
 from tickwell.llm.secrets import op2
 from tickwell.llm.simhash import op10
+from tickwell.llm.spellings import op13
 from tickwell.llm.suffixes import op1
 from tickwell.llm.toxicity import op8
 from tickwell.llm.whitening import op12
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_main_text": op9,
     "op10_simhash": op10,
     "op12_whitening": op12,
+    "op13_spellings": op13,
 }
 
 ORACLE = {"op4_preferences": OP4_SQL, "op6_decontamination": OP6_SQL}
