@@ -5,6 +5,7 @@ from __future__ import annotations
 from tickwell.llm.bpe import op3
 from tickwell.llm.chat import OP4_SQL, op4
 from tickwell.llm.decontaminate import OP6_SQL, op6
+from tickwell.llm.fingerprints import op11
 from tickwell.llm.language_model import op7
 from tickwell.llm.pages import op9
 from tickwell.llm.quality import op5
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_toxicity": op8,
     "op9_main_text": op9,
     "op10_simhash": op10,
+    "op11_fingerprints": op11,
     "op12_whitening": op12,
     "op13_spellings": op13,
 }
