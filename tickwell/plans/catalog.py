@@ -26,7 +26,9 @@ from tickwell.plans.risk import risk_metrics
 from tickwell.sources import history, tables
 from tickwell.sources.durable import cut, scratch
 from tickwell.sources.tables import EVENT_UNIVERSE as U
-from tickwell.streaming import jobs
+from tickwell.streaming import jobs, supervision
+from tickwell.streaming.keyed_returns import close_keyed_returns, keyed_return_stream
+from tickwell.streaming.replay import follow, replay
 from tickwell.streaming.returns import close_returns, return_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -454,6 +456,59 @@ def stream_ingest(spark, folder):
     )
 
 
+PARTS, DELAY, SLOT = 3, "2 hours", "6 hours"
+
+
+def arriving(spark: SparkSession, folder: str) -> DataFrame:
+    """The ticks as a feed in parts; stored, since each part is cut from it."""
+    quotes = windows.valid_quotes(tables.quotes(spark, folder), U.symbols)
+    fed = tables.arrivals(quotes, PARTS)
+    return cut(fed.withColumn("event_time", F.col("event_time").cast("timestamp")))
+
+
+def stream_keyed_returns(spark, folder):
+    """Late ticks, three batches, the stream started anew for each."""
+    feed, fed = arriving(spark, folder), scratch(spark, "feed")
+    path, state, marks = (scratch(spark, n) for n in ("returns", "last", "marks"))
+    replay(
+        feed, fed, PARTS,
+        lambda: finished(keyed_return_stream(follow(feed, fed), path, state, marks, lateness=DELAY, slot=SLOT)),
+    )
+    close_keyed_returns(spark, path, state, marks)
+    return spark.read.parquet(path).select(
+        "event_id",
+        "symbol",
+        F.col(TIME).cast("timestamp_ntz").alias(TIME),
+        F.round("returns", 6).alias("returns"),
+    )
+
+
+def stream_journal(spark, folder):
+    """What the journal says of two streams over the same late feed.
+
+    An aggregation counts late rows after it has combined them, so only the other has that figure.
+    """
+    feed, fed, journal = arriving(spark, folder), scratch(spark, "feed"), scratch(spark, "journal")
+    path, state, marks, table, other = (scratch(spark, n) for n in ("returns", "last", "marks", "features", "marks"))
+
+    def returned(name: str) -> StreamingQuery:
+        return keyed_return_stream(follow(feed, fed), path, state, marks, lateness=DELAY, slot=SLOT, name=name)
+
+    def featured(name: str) -> StreamingQuery:
+        quotes = follow(feed, fed).withColumnRenamed("event_time", "processing_time")
+        return jobs.append_batches(jobs.feature_stream(quotes), table, other, every=None, name=name)
+
+    streams = {"returns": returned, "features": featured}
+    replay(feed, fed, PARTS, lambda: supervision.supervise(spark, streams, journal))
+    found = supervision.totals(supervision.batches(spark, journal))
+    return found.select(
+        "query",
+        "input_rows",
+        F.when(F.col("query") == "returns", F.col("late_rows")).alias("late_rows"),
+        F.col("watermark").cast("timestamp_ntz").alias("watermark"),
+    )
+
+
 # --- logs ---------------------------------------------------------------------------------
 
 
@@ -534,6 +589,8 @@ QUERIES: dict[str, Query] = {
     "stream_window_features": stream_window_features,
     "stream_returns": stream_returns,
     "stream_ingest": stream_ingest,
+    "stream_keyed_returns": stream_keyed_returns,
+    "stream_journal": stream_journal,
     "log_pattern_counts": log_pattern_counts,
     "log_line_classes": log_line_classes,
     "log_last_errors": log_last_errors,

@@ -132,6 +132,22 @@ metrics AS (
   FROM statistics s LEFT JOIN tails t USING (symbol) LEFT JOIN tracking e USING (symbol))"""
 
 
+#: A feed in three parts: an event is late where an earlier part holds one two hours newer or more.
+ARRIVALS = VALID + """,
+came AS (
+  SELECT *, epoch_us(event_time)
+            + CASE WHEN event_id % 50 = 7 THEN 300 ELSE event_id % 60 END * 60000000 AS came
+  FROM valid),
+parted AS (
+  SELECT c.*, (c.came - e.feed_start) * 3 // e.feed_span AS part
+  FROM came c, (SELECT min(came) AS feed_start, max(came) - min(came) + 1 AS feed_span FROM came) e),
+newest AS (SELECT part, max(event_time) AS newest FROM parted GROUP BY part),
+judged AS (
+  SELECT p.*, epoch_us(event_time) <= (
+      SELECT epoch_ms(max(n.newest)) * 1000 - 7200000000 FROM newest n WHERE n.part < p.part) AS late
+  FROM parted p)"""
+
+
 def matrix(source: str, time: str, value: str) -> str:
     columns = ", ".join(
         f"coalesce(avg(CASE WHEN symbol = '{s}' THEN {value} END), 0) AS {s}"
@@ -733,6 +749,22 @@ FROM sizes QUALIFY fold > 1""",
         RETURNS,
         body="SELECT event_id, symbol, event_time, round(returns, 6) AS returns FROM series",
     ),
+    "stream_keyed_returns": with_(
+        QUOTES,
+        ARRIVALS,
+        body="""SELECT event_id, symbol, event_time, round(returns, 6) AS returns FROM (
+  SELECT event_id, symbol, event_time, (current_price / nullif(
+      lag(current_price) OVER (PARTITION BY symbol ORDER BY event_time, event_id), 0) - 1) * 100
+    AS returns FROM judged WHERE NOT coalesce(late, false)) WHERE returns IS NOT NULL""",
+    ),
+    "stream_journal": with_(
+        QUOTES,
+        ARRIVALS,
+        body="""SELECT query, input_rows, CASE WHEN query = 'returns' THEN late_rows END AS late_rows,
+       date_trunc('milliseconds', newest) - delay AS watermark
+FROM (SELECT count(*) AS input_rows, count(*) FILTER (late) AS late_rows, max(event_time) AS newest FROM judged),
+     (VALUES ('returns', INTERVAL 2 HOUR), ('features', INTERVAL 10 MINUTE)) AS q(query, delay)""",
+    ),
     "stream_ingest": with_(
         RAW,
         body="SELECT symbol, CASE WHEN ok THEN 'valid' ELSE 'rejected' END AS route, "

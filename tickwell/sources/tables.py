@@ -205,6 +205,19 @@ def log_lines(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select("event_id", F.concat_ws("", *parts).alias("line"))
 
 
+def arrivals(ticks: DataFrame, parts: int) -> DataFrame:
+    """Ticks with the part of the feed they arrive in: a minute or more late by a fixed rule.
+
+    One event in 50 comes five hours late, the others up to an hour. The time from the first to the
+    last arrival is cut into equal parts.
+    """
+    minutes = F.when(F.pmod("event_id", F.lit(50)) == 7, 300).otherwise(F.pmod("event_id", F.lit(60)))
+    came = ticks.withColumn("came", F.unix_micros(F.col("event_time").cast("timestamp")) + minutes * 60_000_000)
+    ends = came.agg(F.min("came").alias("feed_start"), (F.max("came") - F.min("came") + 1).alias("feed_span"))
+    part = F.expr(f"(came - feed_start) * {parts} div feed_span")
+    return came.crossJoin(F.broadcast(ends)).withColumn("part", part.cast("int")).drop("came", "feed_start", "feed_span")
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The event table, one file or a folder of them, as a stream.
 

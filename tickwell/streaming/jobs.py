@@ -62,7 +62,7 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 
 def append_batches(
-    stream: DataFrame, path: str, checkpoint: str, every: str | None = TRAIN_EVERY
+    stream: DataFrame, path: str, checkpoint: str, every: str | None = TRAIN_EVERY, name: str | None = None
 ) -> StreamingQuery:
     """Each micro-batch in its own folder, which a repeated batch overwrites.
 
@@ -73,6 +73,8 @@ def append_batches(
         batch.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
     writer = stream.writeStream.outputMode("append").foreachBatch(write)
+    if name is not None:
+        writer = writer.queryName(name)
     return trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 

@@ -32,17 +32,17 @@ def upto(frontier: int | None) -> Column:
     return F.lit(False) if frontier is None else micros(F.col(TIME)) <= frontier
 
 
-def _state(spark: SparkSession, state: str, name: str, batch_id: int) -> DataFrame:
+def state_of(spark: SparkSession, state: str, name: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(batch_folder(f"{state}/{name}", batch_id))
 
 
-def _with_last(ready: DataFrame, last: DataFrame | None) -> DataFrame:
+def with_last(ready: DataFrame, last: DataFrame | None) -> DataFrame:
     """The rows that leave, and the price each symbol left off at."""
     rows = ready.withColumn("carried", F.lit(False))
     return rows if last is None else rows.unionByName(last.withColumn("carried", F.lit(True)))
 
 
-def _write_returns(rows: DataFrame, path: str, batch_id: int) -> None:
+def write_returns(rows: DataFrame, path: str, batch_id: int) -> None:
     """The carried price is the first row of its symbol: it has no return and leaves no row."""
     found = returns(rows).drop_slices().where("not carried").drop("carried")
     found.write.mode("overwrite").parquet(batch_folder(path, batch_id))
@@ -71,21 +71,21 @@ def return_stream(
         waiting = fresh.where(~too_late)
         if batch_id > 0:
             # Batch numbers have no gaps; the mark is one row.
-            last = _state(spark, state, "last", batch_id - 1)
-            passed = _state(spark, state, "mark", batch_id - 1).first()["frontier"]
+            last = state_of(spark, state, "last", batch_id - 1)
+            passed = state_of(spark, state, "mark", batch_id - 1).first()["frontier"]
             too_late = too_late | upto(passed)
-            waiting = fresh.where(~too_late).unionByName(_state(spark, state, "held", batch_id - 1))
+            waiting = fresh.where(~too_late).unionByName(state_of(spark, state, "held", batch_id - 1))
         waiting = waiting.persist()
         try:
             newest = F.max(F.col(TIME).cast("timestamp")) - F.expr(f"interval '{lateness}'")
             reached = waiting.agg(F.unix_micros(newest)).first()[0]
             frontier = max((t for t in (passed, reached) if t is not None), default=None)
-            rows = _with_last(waiting.where(upto(frontier)), last)
+            rows = with_last(waiting.where(upto(frontier)), last)
 
             def keep(frame: DataFrame, name: str) -> None:
                 frame.write.mode("overwrite").parquet(batch_folder(f"{state}/{name}", batch_id))
 
-            _write_returns(rows, path, batch_id)
+            write_returns(rows, path, batch_id)
             keep(last_prices(rows), "last")
             keep(waiting.where(~upto(frontier)), "held")
             keep(fresh.where(too_late), "late")
@@ -107,5 +107,5 @@ def close_returns(spark: SparkSession, path: str, state: str) -> None:
     if not folder_exists(spark, f"{state}/mark"):
         return
     done = spark.read.parquet(f"{state}/mark").agg(F.max("batch_id")).first()[0]
-    held, last = _state(spark, state, "held", done), _state(spark, state, "last", done)
-    _write_returns(_with_last(held, last), path, done + 1)
+    held, last = state_of(spark, state, "held", done), state_of(spark, state, "last", done)
+    write_returns(with_last(held, last), path, done + 1)
