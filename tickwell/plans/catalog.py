@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import datetime
 
@@ -23,7 +24,7 @@ from tickwell.operators.returns import (
 from tickwell.operators.tail_risk import var_cvar
 from tickwell.plans import ingest, learning
 from tickwell.plans.risk import risk_metrics
-from tickwell.sources import history, tables
+from tickwell.sources import file_topic, history, tables, topics
 from tickwell.sources.durable import cut, scratch
 from tickwell.sources.tables import EVENT_UNIVERSE as U
 from tickwell.streaming import jobs, supervision
@@ -483,6 +484,37 @@ def stream_keyed_returns(spark, folder):
     )
 
 
+def topic_features(spark, folder):
+    """Raw quotes to a topic, the topic to features: two publications, the stream resumed by its offsets."""
+    quotes = ingest.accepted(ingested(spark, folder)).withColumn("at", F.col("received_at").cast("timestamp"))
+    stored = cut(topics.as_topic_rows(quotes, F.col("symbol"), "at", ("event_id",)))
+    topic, table, marks = (scratch(spark, n) for n in ("topic", "features", "marks"))
+    file_topic.register(spark)
+    for part in (F.col("timestamp") < F.lit(MIDDLE), F.col("timestamp") >= F.lit(MIDDLE)):
+        file_topic.publish_log(stored.where(part), topic, "quotes", ("timestamp", "event_id"), 3)
+        stream = topics.read_topic_stream(spark, file_topic.FORMAT, topic, startingOffsets="earliest")
+        features = jobs.feature_stream(jobs.quote_stream(stream, U, event_time=True))
+        jobs.catch_up(jobs.append_batches(features, table, marks, every="1 second"))
+    found = spark.read.parquet(table).drop("batch_id")
+    bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
+    return rounded(found.withColumns(bounds))
+
+
+def topic_offsets(spark, folder):
+    """A topic of all messages read back between offsets: from 100 on, to before the last 50 of each partition."""
+    file_topic.register(spark)
+    topic = scratch(spark, "topic")
+    file_topic.append_log(tables.messages(spark, folder), topic, 1000)
+    ends = file_topic.Log(topic).end()
+    wanted = {"startingOffsets": json.dumps({p: 100 for p in ends}),
+              "endingOffsets": json.dumps({p: o - 50 for p, o in ends.items()})}
+    read = topics.read_topic(spark, file_topic.FORMAT, topic, **wanted)
+    return read.groupBy("partition").agg(
+        F.count("*").alias("messages"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.sum(F.length("value")).alias("bytes"), F.count_distinct("key").alias("keys"),
+    )
+
+
 def stream_journal(spark, folder):
     """What the journal says of two streams over the same late feed.
 
@@ -591,6 +623,8 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_keyed_returns": stream_keyed_returns,
     "stream_journal": stream_journal,
+    "topic_features": topic_features,
+    "topic_offsets": topic_offsets,
     "log_pattern_counts": log_pattern_counts,
     "log_line_classes": log_line_classes,
     "log_last_errors": log_last_errors,

@@ -49,8 +49,9 @@ changes AS (
 series AS (SELECT * FROM changes WHERE returns IS NOT NULL)"""
 
 
-def features(length: str) -> str:
-    return f"""{QUOTES}, {VALID},
+def features(length: str, source: str = f"{QUOTES}, {VALID}") -> str:
+    """`source` ends with the named query `valid`."""
+    return f"""{source},
 grouped AS (
   SELECT symbol, time_bucket(INTERVAL '{length}', event_time) AS window_start,
          time_bucket(INTERVAL '{length}', event_time) + INTERVAL '{length}' AS window_end,
@@ -756,6 +757,27 @@ FROM sizes QUALIFY fold > 1""",
   SELECT event_id, symbol, event_time, (current_price / nullif(
       lag(current_price) OVER (PARTITION BY symbol ORDER BY event_time, event_id), 0) - 1) * 100
     AS returns FROM judged WHERE NOT coalesce(late, false)) WHERE returns IS NOT NULL""",
+    ),
+    "topic_features": with_(
+        features(
+            "5 minutes",
+            RAW
+            + """,
+valid AS (
+  SELECT event_id, date_trunc('second', event_time) AS event_time, symbol, current_price,
+         percent_change, high, low
+  FROM judged WHERE ok AND current_price > 0)""",
+        ),
+        body=f"""SELECT {FEATURE_OUT} FROM features
+WHERE window_end <= (SELECT max(event_time) FROM valid) - INTERVAL 10 MINUTE""",
+    ),
+    "topic_offsets": with_(
+        MESSAGES,
+        body="""
+SELECT part AS partition, count(*) AS messages, min(pos) AS first_offset, max(pos) AS last_offset,
+       sum(strlen(value)) AS bytes, count(DISTINCT key) AS keys
+FROM (SELECT *, max(pos) OVER (PARTITION BY part) AS newest FROM topic)
+WHERE pos BETWEEN 100 AND newest - 50 GROUP BY part""",
     ),
     "stream_journal": with_(
         QUOTES,

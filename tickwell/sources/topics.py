@@ -1,7 +1,8 @@
 """Message topics and landing folders as sources and sinks.
 
-The format is a parameter: `kafka` where the connector is installed, files elsewhere. A file
-topic holds the same columns as a broker topic.
+The format is a parameter: `kafka` where the connector is installed, `filetopic` for a log of files
+with offsets (`file_topic.register` first), or a plain file format. All hold the columns of a broker
+topic.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickwell.config import TOPIC_SCHEMA
+from tickwell.sources.file_topic import FORMAT
 
 RAW_SCHEMA = "metadata struct<name string, url string>, body string, received_at timestamp"
 # Start at the newest offset on a stream, read everything in a batch.
@@ -29,6 +31,8 @@ def read_topic_stream(
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         return reader.options(**_broker(servers, location), **STREAM_START, **options).load()
+    if fmt == FORMAT:
+        return reader.options(**STREAM_START | options).load(location)
     return reader.schema(TOPIC_SCHEMA).options(**options).load(location)
 
 
@@ -39,6 +43,8 @@ def read_topic(
     reader = spark.read.format(fmt)
     if fmt == "kafka":
         return reader.options(**_broker(servers, location), **BATCH_RANGE, **options).load()
+    if fmt == FORMAT:
+        return reader.options(**BATCH_RANGE | options).load(location)
     return reader.schema(TOPIC_SCHEMA).options(**options).load(location)
 
 
@@ -56,6 +62,12 @@ def as_topic_values(rows: DataFrame, key: Column | None = None) -> DataFrame:
     return rows.select(value) if key is None else rows.select(key.alias("key"), value)
 
 
+def as_topic_rows(rows: DataFrame, key: Column, time: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each row as a message: key, JSON text, its time, and the columns to order by."""
+    value = F.to_json(F.struct(*[c for c in rows.columns if c != time])).cast("binary")
+    return rows.select(key.cast("binary").alias("key"), value.alias("value"), F.col(time).alias("timestamp"), *keep)
+
+
 def publish(
     rows: DataFrame, fmt: str, location: str, servers: str = "", key: Column | None = None
 ) -> None:

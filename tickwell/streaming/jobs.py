@@ -162,6 +162,18 @@ def ingest_stream(
     return trigger(writer, every).start()
 
 
+def catch_up(query: StreamingQuery) -> None:
+    """Lets a stream with a processing-time trigger read all there is, then stops it.
+
+    Unlike a run of what is available, this also ends with the batch without rows that closes the
+    windows the last rows have moved the watermark past, whatever the source.
+    """
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def run_until_stopped(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Wait for the first query to end, then stop the others."""
     try:
