@@ -158,3 +158,30 @@ def test_limit_alerts(spark):
     )
     got = {(r["metric"], r["threshold"]) for r in portfolio.limit_alerts(metrics, limits).collect()}
     assert got == {("var_95", 4.0), ("volatility", 2.0)}
+
+
+def test_a_filed_report_replaces_only_itself(spark, tmp_path):
+    shape = (
+        "metrics map<string,struct<var:struct<var_95:double>,tracking_error:double,statistics:struct<data_points:bigint>>>, "
+        "correlation_matrix map<string,map<string,double>>, document_id string, month string"
+    )
+
+    def document(name, month, value):
+        return spark.createDataFrame([({"A": ((value,), None, (12,))}, {"A": {"A": 1.0, "B": None}}, name, month)], shape)
+
+    path = str(tmp_path / "reports")
+    for one in (document("x", "2024-01", 1.0), document("y", "2024-01", 2.0), document("x", "2024-02", 3.0), document("x", "2024-01", 4.0)):
+        reports.put_report(one, path)
+    found = reports.read_reports(spark, path, document("x", "2024-01", 0.0).schema)
+    assert found.count() == 3
+    rows = sorted((r.month, r.document_id, r["name"], r.value) for r in reports.report_figures(found).collect())
+    assert [r for r in rows if r[2] == "var_95"] == [("2024-01", "x", "var_95", 4.0), ("2024-01", "y", "var_95", 2.0), ("2024-02", "x", "var_95", 3.0)]
+    assert {r[2] for r in rows} == {"var_95", "data_points", "corr_A"}
+
+
+def test_a_report_of_no_symbols(spark, tmp_path):
+    shape = "metrics map<string,struct<var:struct<v:double>,tracking_error:double,statistics:struct<n:bigint>>>, correlation_matrix map<string,map<string,double>>, document_id string, month string"
+    empty = spark.createDataFrame([({}, {}, "x", "2024-01")], shape)
+    reports.put_report(empty, str(tmp_path / "r"))
+    found = reports.read_reports(spark, str(tmp_path / "r"), empty.schema)
+    assert found.count() == 1 and reports.report_figures(found).count() == 0

@@ -23,8 +23,8 @@ from tickwell.operators.returns import (
 )
 from tickwell.operators.tail_risk import var_cvar
 from tickwell.plans import ingest, learning
-from tickwell.plans.risk import risk_metrics
-from tickwell.sources import file_topic, history, tables, topics
+from tickwell.plans.risk import risk_document, risk_metrics
+from tickwell.sources import file_topic, history, reports, tables, topics
 from tickwell.sources.durable import cut, scratch
 from tickwell.sources.tables import EVENT_UNIVERSE as U
 from tickwell.streaming import jobs, supervision
@@ -115,6 +115,30 @@ def risk_report(spark, folder):
     return risk_metrics(ticks(spark, folder), U)
 
 
+def risk_document_filed(spark, folder):
+    """The full report filed twice under one id, and once under another, read back as figures."""
+    document, path = cut(risk_document(ticks(spark, folder), U, NOW)), scratch(spark, "reports")
+    stale = document.withColumn("metrics", F.map_filter("metrics", lambda symbol, _: symbol == U.benchmark))
+    other = stale.withColumn("document_id", F.lit("benchmark_only"))
+    for one in (stale, other, document):
+        reports.put_report(one, path)
+    found = reports.read_reports(spark, path, document.schema)
+    return rounded(reports.report_figures(found))
+
+
+def history_dated(spark, folder):
+    """Price history by date folders, read back for 14 days: counts and sums for each day and symbol."""
+    path = scratch(spark, "history")
+    history.write_history(tables.price_history(spark, folder), path)
+    rows = history.read_history(spark, path, NOW, 14, U)
+    return rows.groupBy("date", "symbol").agg(
+        F.count("*").alias("ticks"),
+        F.round(F.sum("current_price"), 4).alias("total"),
+        F.min("event_time").alias("first_time"),
+        F.round(F.sum("percent_change"), 4).alias("change"),
+    )
+
+
 def history_range_scan(spark, folder):
     rows = history.time_range(tables.price_history(spark, folder), NOW, 30, U)
     return history.with_defaults(rows)
@@ -567,6 +591,8 @@ QUERIES: dict[str, Query] = {
     "return_correlation_daily": return_correlation_daily,
     "momentum_correlation_pairs": momentum_correlation_pairs,
     "risk_report": risk_report,
+    "risk_document_filed": risk_document_filed,
+    "history_dated": history_dated,
     "history_range_scan": history_range_scan,
     "symbols_seen": symbols_seen,
     "window_features_5m": window_features_5m,

@@ -421,6 +421,26 @@ WHERE b.symbol = 'view' AND a.symbol <> 'view' GROUP BY a.symbol""",
     "risk_report": with_(
         RETURNS, STATISTICS, tails("series"), TRACKING, METRICS, body="SELECT * FROM metrics"
     ),
+    "risk_document_filed": with_(
+        RETURNS, STATISTICS, tails("series"), TRACKING, METRICS,
+        matrix("series", "event_time", "returns"),
+        body=f""", pairs AS ({correlations(True)}),
+figures AS (
+  SELECT * FROM (UNPIVOT (SELECT symbol, CAST(data_points AS DOUBLE) AS data_points, {", ".join(
+      LIMIT_METRICS)} FROM metrics)
+    ON COLUMNS(* EXCLUDE symbol) INTO NAME name VALUE value)),
+filed AS (
+  SELECT 'risk_metrics_20240130_000000' AS document_id, * FROM figures
+  UNION ALL SELECT 'benchmark_only', * FROM figures WHERE symbol = 'view'
+  UNION ALL SELECT d.id, symbol_a, 'corr_' || symbol_b, corr
+  FROM pairs, (VALUES ('risk_metrics_20240130_000000'), ('benchmark_only')) AS d(id) WHERE corr IS NOT NULL)
+SELECT '2024-01' AS month, document_id, symbol, name, round(value, 6) AS value FROM filed""",
+    ),
+    "history_dated": f"""
+SELECT CAST(ts AS DATE) AS date, event_type AS symbol, count(*) AS ticks, round(sum(value), 4) AS total,
+       min(ts) AS first_time, 0.0::DOUBLE AS change
+FROM events WHERE ts BETWEEN TIMESTAMP '2024-01-16' AND TIMESTAMP '2024-01-30' AND event_type IN {S}
+GROUP BY 1, 2""",
     "history_range_scan": with_(
         SCAN,
         body="SELECT *, 0.0::DOUBLE AS percent_change, 0.0::DOUBLE AS volatility_score, "

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+#: What a report is filed under.
+FILED = ("month", "document_id")
 
 
 def report_rows(
@@ -55,5 +59,38 @@ def write_report(document: DataFrame, path: str, fmt: str = "json", **options: s
     document.write.format(fmt).options(**options).mode("append").partitionBy("month").save(path)
 
 
+def put_report(document: DataFrame, path: str, fmt: str = "json") -> None:
+    """Files each document under its month and id; one that is there already is replaced.
+
+    A job that runs again, in part or as a whole, leaves one copy of each document. Documents with
+    other ids, of the same month too, are not touched, and nothing is read first.
+    """
+    writer = document.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*FILED).format(fmt).save(path)
+
+
+def read_reports(spark: SparkSession, path: str, schema: StructType, fmt: str = "json") -> DataFrame:
+    """All filed documents; `schema` is that of the documents, since a month looks like a date."""
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
+def report_figures(documents: DataFrame) -> DataFrame:
+    """Long form: one row for each document, symbol and figure that is not null.
+
+    Correlations are named `corr_<other symbol>`.
+    """
+    named = documents.select(*FILED, F.explode("metrics").alias("symbol", "m"))
+    groups = {"var": documents.schema["metrics"].dataType.valueType["var"].dataType.names,
+              "statistics": documents.schema["metrics"].dataType.valueType["statistics"].dataType.names}
+    pairs = [(n, F.col(f"m.{g}.{n}")) for g, names in groups.items() for n in names]
+    pairs.append(("tracking_error", F.col("m.tracking_error")))
+    entries = F.array(*[F.struct(F.lit(n).alias("name"), c.cast("double").alias("value")) for n, c in pairs])
+    figures = named.select(*FILED, "symbol", F.inline(entries))
+    rows = documents.select(*FILED, F.explode("correlation_matrix").alias("symbol", "row"))
+    cells = rows.select(*FILED, "symbol", F.explode("row").alias("other", "value"))
+    corr = cells.select(*FILED, "symbol", F.concat(F.lit("corr_"), "other").alias("name"), "value")
+    return figures.unionByName(corr).where("value is not null")
+
+
 def write_backup(document: DataFrame, path: str) -> None:
     document.write.mode("overwrite").json(path)
