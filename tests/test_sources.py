@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tickwell.config import Universe
 from tickwell.functions import logs
 from tickwell.operators import correlation, portfolio
-from tickwell.sources import durable, history, registry, tables, topics
+from tickwell.sources import durable, history, registry, reports, tables, topics
 
 AB = Universe(("A", "B"), "A")
 DAY = 86400
