@@ -276,9 +276,9 @@ def whole_score(counts, text):
     return score
 
 
-def plain_score(counts, text):
+def plain_score(counts, text, least=1):
     total, kinds, score, base = sum(counts[0].values()), len(counts[0]), 0.0, 0.0
-    kept = [counts[0], *({g: c for g, c in level.items() if c >= 2} for level in counts[1:])]
+    kept = [counts[0], *({g: c for g, c in level.items() if c >= least} for level in counts[1:])]
     follow = [{}, {}, {}]
     for n in (1, 2):
         for gram, c in kept[n].items():
@@ -298,12 +298,17 @@ def plain_score(counts, text):
     return base, score
 
 
-def test_language_model(spark, docs, none):
-    model = language_model.train(docs, scratch(spark, "model"))
+@pytest.mark.parametrize(("least", "shard_bytes", "chars"), [(1, 1 << 24, 4_000_000), (2, 5_000, 3_000), (1, 3_000, 900)])
+def test_language_model(spark, docs, none, monkeypatch, least, shard_bytes, chars):
+    """All n-grams or the frequent ones, over one shard and slice or many."""
+    monkeypatch.setattr(language_model, "SHARD_BYTES", shard_bytes)
+    monkeypatch.setattr(language_model, "SLICE", chars)
+    model = language_model.train(docs, scratch(spark, "model"), least=least)
+    assert (len(model.levels[0].sizes) > 1) == (shard_bytes < 1 << 24)
     counts = plain_model(t for _, t in TEXTS)
     assert model.tokens == sum(counts[0].values()) and model.words == len(counts[0])
     for r in language_model.with_scores(docs, model, "s").select("text", "s.*").collect():
-        base, score = plain_score(counts, r.text)
+        base, score = plain_score(counts, r.text, least)
         assert r.base_score == pytest.approx(base, abs=1e-6)
         # Probabilities are quantised to a 64th of a power of ten.
         assert r.score == pytest.approx(score, abs=0.04 * r.n_tokens)
@@ -313,6 +318,22 @@ def test_language_model(spark, docs, none):
     assert (row.n_known, row.base_score, row.score) == (0, 0.0, 0.0)
 
 
+def test_contexts_times_words_beyond_the_numbers(none, tmp_path):
+    huge = language_model.Level("", np.array([0, 1], np.uint64), np.array([1 << 40]), np.array([0]))
+    with pytest.raises(OverflowError):
+        language_model.grow(none.select("text"), language_model.Model([huge], 1, 1 << 40), str(tmp_path), 1, 1)
+
+
+def test_long_runs_of_one_bucket():
+    """More entries of one bucket than a word has bits."""
+    for values in (np.arange(1000, 1300), np.array([0, 5]), np.arange(0, 640), np.array([7])):
+        for universe in (1 << 20, 1400):
+            found = EliasFano.build(values.astype(np.uint64), universe).find(np.arange(1400, dtype=np.uint64))
+            want = np.full(1400, -1)
+            want[values] = np.arange(len(values))
+            assert (found == want).all()
+
+
 def test_rare_successors_of_a_very_common_context(tmp_path, monkeypatch):
     often = 4 * 10**9
     monkeypatch.setattr(language_model, "context_counts", lambda level, begin, end: np.array([often]))
@@ -337,7 +358,7 @@ def test_language_model_query_keeps_lone_ngrams(spark, tmp_path):
         assert r.score == pytest.approx(want[r.doc_id, r.n_tokens - 1], abs=0.04 * r.n_tokens)
     # Lone n-grams decide: without them a training text is far less likely.
     long = next(t for i, t in rows if i == 7)
-    assert whole_score(counts, long) - plain_score(counts, long)[1] > 0.1 * len(long.split())
+    assert whole_score(counts, long) - plain_score(counts, long, 2)[1] > 0.1 * len(long.split())
 
 
 def test_toxicity(spark, docs, none):

@@ -99,6 +99,17 @@ class EliasFano:
         inside = PLACE[octets[rows, octet], rest]
         return block * (WORD * STRIDE) + word * WORD + octet * 8 + inside
 
+    def ones(self, first: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        """How many set bits follow from `first` on, where the given buckets begin."""
+        word, shift = first >> 6, (first & 63).astype(np.uint64)
+        after = self.upper[np.minimum(word + 1, len(self.upper) - 1)]
+        # A shift by 64 is undefined, so the next word moves in two steps.
+        bits = (self.upper[word] >> shift) | ((after << (np.uint64(63) - shift)) << np.uint64(1))
+        run = np.bitwise_count((bits ^ (bits + np.uint64(1))) >> np.uint64(1)).astype(np.int64)
+        long = np.flatnonzero(run == 63)
+        run[long] = self.zero(bucket[long]) - first[long]
+        return run
+
     def find(self, values: np.ndarray) -> np.ndarray:
         """Place of each value in the list, -1 where it is not in it: the successor, if equal."""
         if not self.size or not len(values):
@@ -114,8 +125,9 @@ class EliasFano:
         # Neighbours often share a bucket: its borders are looked up once.
         new = np.concatenate(([True], high[1:] != high[:-1]))
         bucket, owner = high[new], np.cumsum(new) - 1
-        begin = np.where(bucket > 0, self.zero(np.maximum(bucket - 1, 0)) - bucket + 1, 0)[owner]
-        end = (self.zero(bucket) - bucket)[owner]
+        first = np.where(bucket > 0, self.zero(np.maximum(bucket - 1, 0)) + 1, 0)
+        start = first - bucket
+        begin, end = start[owner], (start + self.ones(first, bucket))[owner]
         # Binary search among the low bits of one bucket, all values abreast.
         left, right = begin.copy(), end.copy()
         active = np.flatnonzero(left < right)
@@ -135,7 +147,12 @@ class EliasFano:
 
     @classmethod
     def load(cls, prefix: str, size: int, width: int) -> EliasFano:
-        return cls(size, width, *(np.load(f"{prefix}-{n}.npy", mmap_mode="r") for n in ("lower", "upper", "zeros")))
+        return cls(size, width, *(mapped(f"{prefix}-{n}.npy") for n in ("lower", "upper", "zeros")))
+
+
+def mapped(path: str) -> np.ndarray:
+    """A stored array, mapped; as a plain array, which is cheaper to index than the mapping's own class."""
+    return np.load(path, mmap_mode="r").view(np.ndarray)
 
 
 def store(path: str, values: np.ndarray) -> None:

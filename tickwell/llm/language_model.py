@@ -1,7 +1,6 @@
 """Language-model scoring by an Elias-Fano n-gram trie.
 
-Level one lists the hashes of all training words, level n the n-grams that occur `least` times or more;
-the query keeps all of them. An n-gram is a number relative to its context: context id times the number of words, plus word id. Each
+Level one lists the hashes of all training words, level n all n-grams of n words. An n-gram is a number relative to its context: context id times the number of words, plus word id. Each
 level is cut by context into shards, which are files in the shared folder: an Elias-Fano list of these
 numbers, whose places are the ids that the next level builds on, one byte of quantised discounted
 probability for each n-gram, and one of back-off weight for each context; a shard's smallest value sets
@@ -22,13 +21,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.common import partitions, scratch, slices, table, text_of
-from tickwell.llm.elias_fano import EliasFano, local, store
+from tickwell.llm.common import scratch, slices, table, text_of
+from tickwell.llm.elias_fano import EliasFano, local, mapped, store
 from tickwell.shipping import ship
 
 ORDER = 3
-#: Where train() is not told otherwise, n-grams of two words or more are kept from this count on.
-LEAST = 2
+#: N-grams of two words or more are kept from this count on: all of them.
+LEAST = 1
+#: Bytes of text for each shard of a level.
+SHARD_BYTES = 1 << 24
 DISCOUNT = 0.75
 ADDED = 0.1
 #: Characters of text handled together.
@@ -45,7 +46,8 @@ def codes(values: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def decoded(values: np.ndarray, step: float) -> np.ndarray:
-    return 10.0 ** (-step * values.astype(np.float64))
+    """A byte has 256 values, so their powers are worked out once."""
+    return (10.0 ** (-step * np.arange(256)))[values]
 
 
 @dataclass
@@ -69,7 +71,7 @@ class Level:
         if shard not in self.opened:
             prefix = f"{self.path}/{shard}"
             ef = EliasFano.load(prefix, int(self.sizes[shard]), int(self.widths[shard]))
-            arrays = {n: np.load(f"{prefix}-{n}.npy", mmap_mode="r") for n in ("count", "prob", "back", "steps")}
+            arrays = {n: mapped(f"{prefix}-{n}.npy") for n in ("count", "prob", "back", "steps")}
             self.opened[shard] = (ef, arrays)
         return self.opened[shard]
 
@@ -139,13 +141,14 @@ def contexts_of(model: Model, texts: list[str]) -> Iterator[tuple[int, np.ndarra
         previous[first] = -1
         known = np.flatnonzero(previous >= 0)
         # An unknown word is no successor of anything; its context still backs off.
-        successor = np.where(word >= 0, word, model.words)
-        order = known[np.argsort(previous[known] * (model.words + 1) + successor[known])]
-        successor = successor[order].astype(np.uint64)
-        ids, found = level.look(previous[order].astype(np.uint64), successor, model.words + 1)
+        successor = np.where(word[known] >= 0, word[known], model.words)
+        # Each pair of context and word is looked up once, however often the slice has it.
+        pairs, which = np.unique(previous[known] * (model.words + 1) + successor, return_inverse=True)
+        context, successor = np.divmod(pairs.astype(np.uint64), np.uint64(model.words + 1))
+        ids, found = level.look(context, successor, model.words + 1)
         node = np.full(len(at), -1)
-        node[order] = ids
-        yield number, node, {"order": order, "found": found}
+        node[known] = ids[which]
+        yield number, node, {"known": known, "which": which, "found": found}
 
 
 def next_keys(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -193,6 +196,8 @@ def grow(texts: DataFrame, model: Model, path: str, shards: int, least: int) ->
     """
     level = len(model.levels) + 1
     span = 1 << 64 if level == 1 else int(model.levels[-1].bases[-1])
+    if level > 1 and span * (model.words + 1) >= 1 << 63:
+        raise OverflowError(f"level {level} has {span} contexts of {model.words} words, beyond 63 bits")
     edges = [span * k // shards for k in range(shards + 1)]
     contexts = np.array([min(e, (1 << 64) - 1) for e in edges], np.uint64)
     scale = 1 if level == 1 else model.words + 1
@@ -284,13 +289,15 @@ def context_counts(level: Level, begin: int, end: int) -> np.ndarray:
 def train(docs: DataFrame, path: str, order: int = ORDER, column: str = "text", least: int = LEAST) -> Model:
     """A model of all whole texts of `docs`, its files below `path` in the shared folder.
 
-    With `least=1` it holds every n-gram of the texts.
+    It holds every n-gram of the texts; a larger `least` leaves out rarer ones of two words or more.
+    There are as many shards as the texts have `SHARD_BYTES`, so a shard does not grow with the input.
     """
     ship(docs.sparkSession)
     texts = docs.select(text_of(column).alias("text"))
+    total = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     model = Model()
     for _ in range(order):
-        model = grow(texts, model, path, partitions(docs.sparkSession), least)
+        model = grow(texts, model, path, max(1, -(-total // SHARD_BYTES)), least)
     return model
 
 
@@ -304,8 +311,8 @@ def score_texts(model: Model, texts: list[str]) -> list[np.ndarray]:
             prob = (found["count"] + ADDED) / (model.tokens + ADDED * (model.words + 1))
             base = np.log10(prob)
             continue
-        order, looked = found["order"], found["found"]
-        prob[order] = looked["prob"] + looked["back"] * prob[order]
+        known_here, which, looked = found["known"], found["which"], found["found"]
+        prob[known_here] = looked["prob"][which] + looked["back"][which] * prob[known_here]
     starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
     sums = [np.add.reduceat(v, starts) for v in (known.astype(np.int64), base, np.log10(prob))]
     return [lengths, *sums]
@@ -340,7 +347,7 @@ def held_out(every: int, column: str = "doc_id") -> Column:
 
 def op7(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs.where(~held_out(10)), scratch(spark, "language-model"), least=1)
+    model = train(docs.where(~held_out(10)), scratch(spark, "language-model"))
     scored = with_scores(docs, model, "scores")
     return scored.select(
         "doc_id",
