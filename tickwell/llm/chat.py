@@ -14,7 +14,6 @@ from tickwell.llm.common import table
 
 CHOSEN, REJECTED, PROMPT = "chosen", "rejected", "prompt"
 ASSISTANT = "assistant"
-LAST = 2**31 - 1
 
 
 def header(role: Column) -> Column:
@@ -30,12 +29,13 @@ def aligned(sides: DataFrame) -> DataFrame:
     clean = sides.where("pair_id is not null").select(
         "pair_id",
         "side",
-        F.coalesce(F.col("turn").cast("int"), F.lit(LAST)).alias("turn"),
+        F.col("turn").isNull().alias("unplaced"),
+        F.coalesce(F.col("turn").cast("bigint"), F.lit(0)).alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    same_turn = Window.partitionBy("pair_id", "side", "turn").orderBy("role", "text")
-    numbered = clean.withColumn("place", F.struct("turn", F.row_number().over(same_turn).alias("tie")))
+    same_turn = Window.partitionBy("pair_id", "side", "unplaced", "turn").orderBy("role", "text")
+    numbered = clean.withColumn("place", F.struct("unplaced", "turn", F.row_number().over(same_turn).alias("tie")))
     of = {s: F.max(F.when(F.col("side") == s, F.struct("role", "text"))).alias(s) for s in (CHOSEN, REJECTED)}
     both = numbered.groupBy("pair_id", "place").agg(of[CHOSEN], of[REJECTED])
     return both.withColumn("same", F.col(CHOSEN).eqNullSafe(F.col(REJECTED)))
@@ -100,7 +100,7 @@ def alternatives(conversations: DataFrame) -> DataFrame:
     """Both sides of a pair for each conversation: as it is, and with another's last answer.
 
     The rejected side takes the last answer of the conversation whose id differs in the lowest bit; if
-    there is none, it goes without.
+    there is none, it goes without. An answer without a turn is before all others here.
     """
     turns = conversations.where("conv_id is not null").select(
         F.col("conv_id").cast("long").alias("pair_id"), "turn", "role", "text"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tickwell.sources.durable import cut, scratch
 from tickwell.sources.tables import table
 
-__all__ = ["cut", "free_name", "partitions", "scratch", "settle", "slices", "table", "text_of"]
+__all__ = ["cut", "free_name", "one_text_each", "partitions", "scratch", "settle", "slices", "table", "text_of"]
 
 #: Characters that end a word wherever an operator speaks of words.
 SPACES = "\\x20\\x09-\\x0D"
@@ -43,6 +43,15 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_text_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of the keys, with the first of its texts by hash.
+
+    The texts of a key are folded before they move, so a key that very many rows share is a row of each
+    task, no more.
+    """
+    return rows.groupBy(*keys).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+
+
 def slices(texts: pa.Array, most_bytes: int) -> Iterator[list[str]]:
     """The texts in order, in lists of about `most_bytes`; a longer text is a list of its own."""
     held: list[str] = []

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.common import free_name, table, text_of
+from tickwell.llm.common import free_name, one_text_each, table, text_of
 from tickwell.shipping import ship
 
 # Fixed values of the base rules.
@@ -228,7 +228,8 @@ def learned_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
 
     The labels are chosen by the hash of their id, so the choice does not depend on row order; their
     number is bounded, so they are broadcast, and only their documents are read by Python. Labels
-    that are null, and documents that the base rules reject anyway, teach nothing.
+    that are null, and documents that the base rules reject anyway, teach nothing. Of rows that share a
+    doc_id one text is taken, so the bound holds for rows.
     """
     chosen = (
         labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
@@ -237,7 +238,8 @@ def learned_rules(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    known = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    known = one_text_each(known, "doc_id", "quality")
     counted = with_counts(known, "counted").where(~base_failed("counted"))
     rows = counted.select("doc_id", "quality", "counted.*").toPandas()
     rows = rows.sort_values(["doc_id", *COUNTS], kind="stable", ignore_index=True)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.llm.common import cut, free_name, table, text_of
@@ -267,37 +267,60 @@ def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, shard:
     return cells.groupBy("cell").applyInArrow(run, "a bigint, b bigint")
 
 
-def near_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, print, component_id) of every row of `docs`.
+def rooted(docs: DataFrame, radius: int) -> DataFrame:
+    """(doc_id, print, mark, size, root, component_id) of every row of `docs`.
 
-    `component_id` is the smallest doc_id reachable over links; a null doc_id counts only where there
-    is no other. Documents without words have fingerprint zero and are linked like any other. Repeated
-    rows come back as often as they came. Exact copies share one fingerprint and meet only as one.
+    `root` names the component, also where none of its rows has an id; `mark` and `size` tell texts apart.
     """
-    rows = cut(with_fingerprint(docs.select("doc_id", "text"), "print").select("doc_id", "print"))
+    texts = docs.select("doc_id", text_of().alias("text"))
+    marked = texts.withColumns({"mark": F.xxhash64("text"), "size": F.length("text")})
+    rows = cut(with_fingerprint(marked, "print").drop("text"))
     prints = cut(rows.groupBy("print").agg(F.min("doc_id").alias("least")))
     roots = cut(components(links(prints.select("print"), radius)).withColumnRenamed("node", "print"))
-    rooted = prints.join(roots, "print", "left").select(
+    found = prints.join(roots, "print", "left").select(
         "print", "least", F.coalesce("root", "print").alias("root")
     )
-    lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(lowest, "root").select("print", "component_id")
+    lowest = found.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = found.join(lowest, "root").select("print", "root", "component_id")
     return rows.join(named, "print")
 
 
+def near_groups(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, print, component_id) of every row of `docs`.
+
+    `component_id` is the smallest doc_id reachable over links; a null doc_id counts only where there
+    is no other. Documents without words have fingerprint zero and are linked like any other. Repeated
+    rows come back as often as they came. Exact copies share one fingerprint and meet only as one.
+    """
+    return rooted(docs, radius).select("doc_id", "print", "component_id")
+
+
 def one_of_each(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest doc_id of each group, with the columns it came with.
+    """One document of each group of near-duplicates, with the columns it came with.
 
-    Of several rows with that doc_id the first by text stays. Rows without a doc_id all stay: no id
-    says which of them to take.
+    It is the one with the smallest doc_id, rows without an id last; of several texts with that doc_id
+    the first by hash. Rows that share a doc_id but not a group are documents of their own, so each
+    group keeps one. Of rows that agree in id and text one stays, whatever their other columns say. An
+    empty table stays empty.
     """
-    groups = near_groups(docs, radius)
-    first = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    number = free_name(docs, "number_")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    chosen = docs.join(first.hint("shuffle_hash"), F.col("doc_id") == F.col("kept_id"), "left_semi")
-    once = chosen.withColumn(number, F.row_number().over(order)).where(F.col(number) == 1).drop(number)
-    return once.union(docs.where("doc_id is null"))
+    # Narrow rows only: how often each document occurs, and the first document of each group.
+    each = rooted(docs, radius).groupBy("root", "doc_id", "mark", "size").agg(F.count("*").alias("times"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", "size", "times")
+    first = cut(each.groupBy("root").agg(F.min(rank).alias("first")).select("first.*"))
+    mark, size, kept = (free_name(docs, n) for n in ("mark_", "size_", "kept_"))
+    marked = docs.withColumns({mark: F.xxhash64(text_of()), size: F.length(text_of())})
+
+    def chosen(wanted: Column) -> DataFrame:
+        some = first.where(wanted).select(F.struct("doc_id", "mark", "size").alias(kept))
+        same = marked["doc_id"].eqNullSafe(F.col(f"{kept}.doc_id"))
+        same = same & (marked[mark] == F.col(f"{kept}.mark")) & (marked[size] == F.col(f"{kept}.size"))
+        return marked.join(some.hint("shuffle_hash"), same, "left_semi")
+
+    # Documents that occur once need no more than the join; of the others the copies are folded before
+    # they move, so a document that a third of all rows repeat is no task's whole work.
+    once = chosen(F.col("times") == 1)
+    several = chosen(F.col("times") > 1).dropDuplicates(["doc_id", mark, size])
+    return once.union(several).drop(mark, size)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:

@@ -12,11 +12,11 @@ that the merge yields are the groups of equal strings.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -123,7 +123,8 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def tag_of(text: bytes) -> int:
-    return zlib.crc32(text)
+    """Tells texts of one doc_id, or of none, apart."""
+    return xxhash.xxh3_64_intdigest(text)
 
 
 def shard_of(doc: np.ndarray, tag: np.ndarray, shards: int) -> np.ndarray:
@@ -171,7 +172,7 @@ def find_candidates(shards: int):
                 values, places = anchors(np.frombuffer(data, np.uint8))
                 if len(values):
                     key = LAST if doc is None else doc
-                    held.append((values, np.full(len(values), key), np.full(len(values), tag_of(data), np.uint32), places))
+                    held.append((values, np.full(len(values), key), np.full(len(values), tag_of(data), np.uint64), places))
                     size += len(values)
                 if size > 400_000:
                     yield from deal(held)
@@ -206,7 +207,7 @@ def keep_repeated(shards: int):
                     blocks.append(row["data"])
                 else:
                     yield batch([tuple(row.values())])
-        values, doc, tag, place = gathered(blocks, [np.uint64, np.int64, np.uint32, np.uint64])
+        values, doc, tag, place = gathered(blocks, [np.uint64, np.int64, np.uint64, np.uint64])
         order = np.argsort(values, kind="stable")
         same = values[order][1:] == values[order][:-1]
         again = order[np.concatenate((same, [False])) | np.concatenate(([False], same))] if len(order) else order
@@ -296,7 +297,7 @@ def sort_runs(shards: int, borders: np.ndarray):
                         texts[int(LAST) if doc is None else doc, tag_of(text)] = text
                 else:
                     blocks.append(row["data"])
-        doc, tag, place = gathered(blocks, [np.int64, np.uint32, np.uint64])
+        doc, tag, place = gathered(blocks, [np.int64, np.uint64, np.uint64])
         found = records_of(texts, doc, tag, place)
         del texts
         found = found.take(np.argsort(as_strings(found.keys), kind="stable"))
@@ -536,7 +537,7 @@ def compare_strings(shards: int):
                     blocks.append(row["data"])
                 else:
                     yield batch([tuple(row.values())])
-        one, two, doc, tag, start = gathered(blocks, [np.uint64, np.uint64, np.int64, np.uint32, np.int64])
+        one, two, doc, tag, start = gathered(blocks, [np.uint64, np.uint64, np.int64, np.uint64, np.int64])
         order = np.lexsort((start, tag, doc, two, one))
         one, two, doc, tag, start = (v[order] for v in (one, two, doc, tag, start))
         new = np.concatenate(([True], (one[1:] != one[:-1]) | (two[1:] != two[:-1]))) if len(one) else np.empty(0, bool)
@@ -572,7 +573,7 @@ def remove_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts += texts_of(row["data"])
             else:
                 blocks.append(row["data"])
-    doc, tag, begin, end = gathered(blocks, [np.int64, np.uint32, np.int64, np.int64])
+    doc, tag, begin, end = gathered(blocks, [np.int64, np.uint64, np.int64, np.int64])
     order = np.lexsort((begin, tag, doc))
     doc, tag, begin, end = doc[order], tag[order], begin[order], end[order]
     edges = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])))) if len(doc) else []
@@ -604,7 +605,7 @@ def borders_of(rows: DataFrame, total: int, shards: int) -> np.ndarray:
                 places = places[:: max(1, len(places) // 16)]
                 if len(places):
                     zero = np.zeros(len(places), np.int64)
-                    keys = records_of({(0, 0): data}, zero, zero.astype(np.uint32), places).keys
+                    keys = records_of({(0, 0): data}, zero, zero.astype(np.uint64), places).keys
                     yield pa.RecordBatch.from_arrays([pa.array(as_strings(keys).tolist(), pa.binary())], ["key"])
 
     some = rows.where(F.pmod(F.xxhash64("doc_id", F.length("data")), F.lit(share)) == 0)
@@ -618,7 +619,7 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
     """(doc_id, n_bytes, spans, kept) of every row: what is removed, and the bytes that stay.
 
     Texts are UTF-8 bytes, a null one is empty. Documents are ordered by doc_id, null ones last; rows
-    that share a doc_id but not the text are ordered by a checksum of the text, and fully repeated rows
+    that share a doc_id but not the text are ordered by a 64-bit hash of the text, and fully repeated rows
     are one document, reported as often as they came. Texts under 100 bytes stay whole, and a document
     of which an exact copy comes earlier goes altogether.
 
@@ -642,7 +643,7 @@ def remove_repeats(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame
         for part in batches:
             texts = list(zip(part.column("doc_id").to_pylist(), (t.as_buffer().to_pybytes() for t in part.column("data")), strict=True))
             keys = np.array([int(LAST) if d is None else d for d, _ in texts], np.int64)
-            shard = shard_of(keys, np.array([tag_of(t) for _, t in texts], np.uint32), shards)
+            shard = shard_of(keys, np.array([tag_of(t) for _, t in texts], np.uint64), shards)
             order = np.argsort(shard, kind="stable").tolist()
             edges = np.searchsorted(shard[order], np.arange(shards + 1)).tolist()
             for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickwell.llm.common import table, text_of
+from tickwell.llm.common import one_text_each, table, text_of
 from tickwell.llm.language_model import held_out
 from tickwell.shipping import ship
 
@@ -227,7 +227,8 @@ def odds_of(counts: pd.DataFrame, toxic: int, clean: int) -> dict[str, float]:
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     """A scorer from at most `sample` labelled documents; null labels and ids teach nothing.
 
-    Which documents are taken depends on their ids alone. Term counts are summed for each batch of
+    Which documents are taken depends on their ids alone; of rows that share one, one text is taken, so
+    the bound holds for rows. Features count at most 50 hits, and 200 of summed odds. Term counts are summed for each batch of
     texts before they move. Without labels of both kinds the score is the share of toxic ones.
     """
     ship(docs.sparkSession)
@@ -240,6 +241,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
         .withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(10)))
     )
     known = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    known = one_text_each(known, "doc_id", "toxic", "part")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
