@@ -1,8 +1,9 @@
 """Main text of web pages from flat text blocks.
 
 A page becomes a flat list of blocks. Each block has its words, its share of linked words, those of
-its two neighbours, and the kind of container it lies in. A decision tree fitted to a small table of
-labelled blocks says which blocks belong to the article.
+its two neighbours, the kind of container it lies in, and how far the names of its containers speak
+against it. A decision tree fitted to a small table of labelled blocks says which blocks belong to the
+article; no name and no container decides by itself.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,10 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|textarea)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*>"
-    r"""|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>"']|"[^"]*"|'[^']*')*)>"""
-    r"|</?[a-zA-Z][^>]*>",
+    # A value ends at a quote that something which may follow a value follows; where a quote was lost,
+    # the next one opens a value, and the tag is read up to its first bracket instead.
+    r"""|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>"']|"[^"]*"(?=[\s/>])|'[^']*'(?=[\s/>]))*)>"""
+    r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest2>[^>]*)>",
     re.DOTALL | re.IGNORECASE,
 )
 HINT = re.compile(r"""(?<![\w-])(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
@@ -60,28 +63,63 @@ NOTICES = frozenset(
     "popup promo promoted promotion related reply replies respond search share sharing sidebar signup sitenav skip "
     "social sponsor sponsored subscribe tags toolbar topbar widget widgets".split()
 )
+#: Of these, what readers say: an article in such a container is one of theirs.
+REMARKS = frozenset("comment comments discussion disqus replies reply respond".split())
+#: A word before a notice that says the container only goes with one, or goes without.
+ASIDE_FROM = frozenset("with has have no non without hide after before not".split())
+#: Headings above the remarks of readers.
+REMARK_HEADINGS = frozenset(
+    "comments comment discussion responses replies kommentare kommentar diskussion commentaires commentaire "
+    "comentarios comentario respuestas".split()
+)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PLAIN, INSIDE, OUTSIDE, SKIPPED = 0, 1, 2, 3
 
-FEATURES = ("words", "links", "before", "links_before", "after", "links_after", "zone")
+#: `zone`: the container by its element. `hint`: the largest share of notice words in the name of a
+#: container, up to the article's own element; `around`: the same for the containers outside of that.
+FEATURES = ("words", "links", "before", "links_before", "after", "links_after", "zone", "hint", "around")
 
-#: Labelled blocks: the features in order, then 1 for article text. Long plain blocks and short ones
-#: among them are text; linked, short or marked blocks are not.
+#: Labelled blocks: the features in order, then 1 for article text. Unnamed blocks first: long ones and
+#: short ones among them are text; linked ones and short ones among those are not.
 LABELLED = (
-    (42, 0.0, 0, 0.0, 55, 0.0, 0, 1), (55, 0.0, 42, 0.0, 31, 0.0, 0, 1), (31, 0.05, 55, 0.0, 18, 0.0, 0, 1),
-    (18, 0.0, 31, 0.05, 60, 0.0, 0, 1), (12, 0.0, 48, 0.0, 37, 0.1, 0, 1), (7, 0.0, 0, 0.0, 64, 0.0, 0, 1),
-    (3, 0.0, 45, 0.0, 52, 0.0, 0, 1), (90, 0.2, 3, 0.0, 2, 1.0, 0, 1), (25, 0.12, 30, 0.0, 4, 1.0, 0, 1),
-    (16, 0.0, 4, 1.0, 22, 0.0, 0, 1), (9, 0.0, 26, 0.0, 33, 0.0, 0, 1), (120, 0.03, 8, 0.0, 70, 0.0, 0, 1),
-    (60, 0.0, 40, 0.0, 0, 0.0, 0, 1), (14, 0.0, 40, 0.0, 1, 1.0, 0, 1), (35, 0.0, 2, 1.0, 1, 1.0, 0, 1),
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0), (4, 1.0, 2, 1.0, 40, 0.0, 0, 0),
-    (3, 0.67, 3, 1.0, 2, 1.0, 0, 0), (8, 0.75, 1, 1.0, 6, 0.5, 0, 0), (30, 0.8, 5, 1.0, 12, 0.9, 0, 0),
-    (5, 0.4, 2, 1.0, 0, 0.0, 0, 0), (2, 0.0, 1, 1.0, 1, 1.0, 0, 0), (4, 0.0, 3, 1.0, 0, 0.0, 0, 0),
-    (3, 0.0, 0, 0.0, 1, 1.0, 0, 0), (6, 0.5, 60, 0.0, 1, 1.0, 0, 0), (10, 0.6, 30, 0.0, 2, 1.0, 0, 0),
-    (5, 0.0, 0, 0.0, 50, 0.0, 1, 1), (1, 0.0, 60, 0.0, 40, 0.0, 1, 1), (2, 0.0, 20, 0.0, 1, 1.0, 1, 1),
-    (80, 0.0, 5, 0.0, 33, 0.0, 1, 1), (33, 0.1, 80, 0.0, 2, 0.0, 1, 1), (4, 1.0, 40, 0.0, 35, 0.0, 1, 1),
-    (1, 1.0, 1, 1.0, 1, 1.0, 1, 1), (15, 0.5, 9, 0.0, 12, 0.0, 1, 1), (3, 0.0, 1, 1.0, 1, 1.0, 1, 1),
-    (1, 1.0, 0, 0.0, 1, 1.0, 2, 0), (25, 0.0, 1, 1.0, 9, 0.0, 2, 0), (60, 0.0, 45, 0.0, 50, 0.0, 2, 0),
-    (4, 0.0, 70, 0.0, 0, 0.0, 2, 0), (12, 0.1, 30, 0.0, 14, 0.0, 2, 0), (110, 0.0, 12, 0.0, 8, 0.5, 2, 0),
-    (7, 0.3, 80, 0.0, 3, 0.0, 2, 0), (40, 0.05, 6, 0.0, 40, 0.0, 2, 0), (2, 0.0, 0, 0.0, 65, 0.0, 2, 0),
+    (42, 0.0, 0, 0.0, 55, 0.0, 0, 0, 0, 1), (55, 0.0, 42, 0.0, 31, 0.0, 0, 0, 0, 1), (31, 0.05, 55, 0.0, 18, 0.0, 0, 0, 0, 1),
+    (18, 0.0, 31, 0.05, 60, 0.0, 0, 0, 0, 1), (12, 0.0, 48, 0.0, 37, 0.1, 0, 0, 0, 1), (7, 0.0, 0, 0.0, 64, 0.0, 0, 0, 0, 1),
+    (3, 0.0, 45, 0.0, 52, 0.0, 0, 0, 0, 1), (90, 0.2, 3, 0.0, 2, 1.0, 0, 0, 0, 1), (25, 0.12, 30, 0.0, 4, 1.0, 0, 0, 0, 1),
+    (16, 0.0, 4, 1.0, 22, 0.0, 0, 0, 0, 1), (9, 0.0, 26, 0.0, 33, 0.0, 0, 0, 0, 1), (120, 0.03, 8, 0.0, 70, 0.0, 0, 0, 0, 1),
+    (60, 0.0, 40, 0.0, 0, 0.0, 0, 0, 0, 1), (14, 0.0, 40, 0.0, 1, 1.0, 0, 0, 0, 1), (35, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 1),
+    (2, 0.0, 1, 1.0, 40, 0.0, 0, 0, 0, 1), (4, 0.0, 6, 1.0, 30, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 25, 0.0, 0, 0, 0, 1),
+    (9, 0.0, 1, 1.0, 0, 0.0, 0, 0, 0, 1), (12, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0, 1), (10, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 1),
+    (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (8, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (4, 0.0, 0, 0.0, 5, 0.0, 0, 0, 0, 1), (5, 0.0, 4, 0.0, 6, 0.0, 0, 0, 0, 1), (6, 0.0, 5, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (3, 0.0, 0, 0.0, 4, 0.0, 0, 0, 0, 1), (4, 0.0, 3, 0.0, 4, 0.0, 0, 0, 0, 1), (3, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0), (4, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0, 0),
+    (3, 0.67, 3, 1.0, 2, 1.0, 0, 0, 0, 0), (8, 0.75, 1, 1.0, 6, 0.5, 0, 0, 0, 0), (30, 0.8, 5, 1.0, 12, 0.9, 0, 0, 0, 0),
+    (5, 0.4, 2, 1.0, 0, 0.0, 0, 0, 0, 0), (2, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0, 0), (4, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0, 0),
+    (3, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (6, 0.5, 60, 0.0, 1, 1.0, 0, 0, 0, 0), (10, 0.6, 30, 0.0, 2, 1.0, 0, 0, 0, 0),
+    (2, 0.0, 2, 1.0, 0, 0.0, 0, 0, 0, 0), (1, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0), (1, 1.0, 0, 0.0, 30, 0.0, 0, 0, 0, 0),
+    # In an article or main element.
+    (5, 0.0, 0, 0.0, 50, 0.0, 1, 0, 0, 1), (1, 0.0, 60, 0.0, 40, 0.0, 1, 0, 0, 1), (2, 0.0, 20, 0.0, 1, 1.0, 1, 0, 0, 1),
+    (80, 0.0, 5, 0.0, 33, 0.0, 1, 0, 0, 1), (33, 0.1, 80, 0.0, 2, 0.0, 1, 0, 0, 1), (4, 1.0, 40, 0.0, 35, 0.0, 1, 0, 0, 1),
+    (1, 1.0, 1, 1.0, 1, 1.0, 1, 0, 0, 1), (15, 0.5, 9, 0.0, 12, 0.0, 1, 0, 0, 1), (3, 0.0, 1, 1.0, 1, 1.0, 1, 0, 0, 1),
+    (1, 0.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1), (6, 0.0, 1, 1.0, 0, 0.0, 1, 0, 0, 1), (2, 1.0, 0, 0.0, 0, 0.0, 1, 0, 0, 1),
+    (1, 0.0, 1, 1.0, 1, 0.0, 1, 0, 0, 1), (3, 0.0, 2, 1.0, 7, 0.0, 1, 0, 0, 1), (2, 0.0, 1, 1.0, 12, 0.0, 1, 0, 0, 1),
+    # In navigation, asides, footers and forms.
+    (1, 1.0, 0, 0.0, 1, 1.0, 2, 0, 0, 0), (25, 0.0, 1, 1.0, 9, 0.0, 2, 0, 0, 0), (60, 0.0, 45, 0.0, 50, 0.0, 2, 0, 0, 0),
+    (4, 0.0, 70, 0.0, 0, 0.0, 2, 0, 0, 0), (12, 0.1, 30, 0.0, 14, 0.0, 2, 0, 0, 0), (110, 0.0, 12, 0.0, 8, 0.5, 2, 0, 0, 0),
+    (7, 0.3, 80, 0.0, 3, 0.0, 2, 0, 0, 0), (40, 0.05, 6, 0.0, 40, 0.0, 2, 0, 0, 0), (2, 0.0, 0, 0.0, 65, 0.0, 2, 0, 0, 0),
+    (5, 0.0, 0, 0.0, 0, 0.0, 2, 0, 0, 0), (14, 0.0, 0, 0.0, 40, 0.0, 2, 0, 0, 0),
+    # In containers with names that are mostly notices, and with one notice in a longer name.
+    (40, 0.0, 30, 0.0, 25, 0.0, 0, 1, 0, 0), (12, 0.0, 0, 0.0, 45, 0.0, 0, 1, 0, 0), (70, 0.0, 50, 0.0, 0, 0.0, 0, 0.5, 0, 0),
+    (5, 0.0, 60, 0.0, 20, 0.0, 0, 0.5, 0, 0), (3, 1.0, 40, 0.0, 1, 1.0, 0, 0.67, 0, 0), (22, 0.0, 4, 1.0, 33, 0.0, 0, 0.5, 0, 0),
+    (30, 0.0, 60, 0.0, 9, 0.0, 1, 1, 0, 0), (5, 0.0, 48, 0.0, 20, 0.0, 1, 0.5, 0, 0), (90, 0.0, 30, 0.0, 0, 0.0, 1, 0.5, 0, 0),
+    (16, 0.1, 60, 0.0, 3, 0.0, 1, 0.67, 0, 0), (2, 1.0, 40, 0.0, 2, 1.0, 1, 1, 0, 0), (8, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 0),
+    (45, 0.0, 3, 0.0, 30, 0.0, 0, 0.33, 0, 1), (30, 0.0, 45, 0.0, 20, 0.0, 0, 0.33, 0, 1), (9, 0.0, 40, 0.0, 22, 0.0, 0, 0.25, 0, 1),
+    (28, 0.0, 40, 0.0, 30, 0.0, 1, 0.33, 0, 1), (4, 0.0, 30, 0.0, 26, 0.0, 1, 0.33, 0, 1), (6, 0.0, 0, 0.0, 0, 0.0, 0, 0.33, 0, 1),
+    # In an article element that lies in a container so named: the page's own has length, cards have not.
+    (50, 0.0, 4, 0.0, 60, 0.0, 1, 0, 0.5, 1), (4, 0.0, 0, 0.0, 44, 0.0, 1, 0, 0.5, 1), (26, 0.1, 50, 0.0, 3, 1.0, 1, 0, 1, 1),
+    (33, 0.0, 2, 1.0, 41, 0.0, 1, 0, 1, 1), (12, 0.0, 38, 0.0, 27, 0.0, 1, 0, 0.5, 1), (6, 0.0, 55, 0.0, 47, 0.0, 1, 0, 1, 1),
+    (5, 1.0, 6, 0.0, 7, 0.0, 1, 0, 0.5, 0), (8, 0.0, 4, 1.0, 5, 1.0, 1, 0, 1, 0), (3, 0.0, 8, 0.0, 4, 1.0, 1, 0, 0.5, 0),
+    (7, 0.9, 7, 0.9, 9, 0.8, 1, 0, 0.5, 0), (10, 0.0, 5, 1.0, 6, 1.0, 1, 0, 1, 0), (4, 0.0, 9, 0.0, 8, 0.0, 1, 0, 1, 0),
 )
 
 
@@ -93,7 +131,7 @@ class Branch:
     high: Branch | float
 
 
-def fit(rows: np.ndarray, depth: int = 5) -> Branch | float:
+def fit(rows: np.ndarray, depth: int = 8) -> Branch | float:
     """A tree by Gini impurity over a labelled table (features, then the label)."""
     label = rows[:, -1]
     share = float(label.mean()) if len(rows) else 0.0
@@ -119,41 +157,59 @@ def grade(tree: Branch | float, block: tuple) -> float:
     return tree
 
 
-def marked(name: str, rest: str) -> bool:
-    """Whether a container says of itself that it is no part of the article."""
-    if name in OUTER:
-        return True
-    if not rest:
-        return False
+def hint_of(name: str, rest: str) -> tuple[float, bool]:
+    """How far a container says of itself that it is no part of the article, and whether of readers' remarks.
+
+    The share of notice words in a name, for the class, id or role where it is largest. A notice after a
+    word such as `with` or `no` is none. What is hidden speaks against itself altogether.
+    """
+    share, remarks = 0.0, False
     for hint in HINT.finditer(rest):
         key, value = hint[1].lower(), (hint[2] or "").strip("\"'")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return 1.0, False
         if key == "style":
             if "display:none" in value.replace(" ", "").lower():
-                return True
+                return 1.0, False
         elif key in ("class", "id", "role") and name not in ("body", "html", "main"):
-            if not NOTICES.isdisjoint(PART.split(LETTER_CASE.sub("-", value).lower())):
-                return True
-    return False
+            for token in value.split():
+                words = [w for w in PART.split(LETTER_CASE.sub("-", token).lower()) if w]
+                said = [w for at, w in enumerate(words) if w in NOTICES and not (at and words[at - 1] in ASIDE_FROM)]
+                if said and len(said) / len(words) > share:
+                    share, remarks = len(said) / len(words), not REMARKS.isdisjoint(said)
+    return share, remarks
+
+
+@dataclass(frozen=True)
+class Place:
+    """Where in the page a block lies."""
+
+    zone: int = PLAIN
+    hint: float = 0.0
+    around: float = 0.0
+    remarks: bool = False
 
 
 class Page:
     """Cuts one page into blocks."""
 
     def __init__(self) -> None:
-        self.blocks: list[tuple[str, int, int, int]] = []
-        self.open: list[tuple[str, int]] = []
-        self.zone = PLAIN
+        self.blocks: list[tuple[str, int, int, Place]] = []
+        self.open: list[tuple[str, Place]] = []
+        self.place = Place()
         self.text: list[str] = []
         self.linked: list[str] = []
         self.link = False
 
+    @property
+    def zone(self) -> int:
+        return self.place.zone
+
     def end_block(self) -> None:
         words = html.unescape("".join(self.text)).split()
         if words:
             links = len(html.unescape(" ".join(self.linked)).split()) if self.linked else 0
-            self.blocks.append((" ".join(words), len(words), min(links, len(words)), self.zone))
+            self.blocks.append((" ".join(words), len(words), min(links, len(words)), self.place))
         self.text, self.linked = [], []
 
     def in_head(self) -> bool:
@@ -173,7 +229,7 @@ class Page:
             inner = self.open[-1][0]
             if close:
                 at = max((k for k, (n, _) in enumerate(self.open) if n == name), default=-1)
-                if at >= 0 and self.open[at][1] != SKIPPED and name not in LEFT_OUT and name != "head":
+                if at >= 0 and self.open[at][1].zone != SKIPPED and name not in LEFT_OUT and name != "head":
                     return False  # the container ends
                 self.leave(name)
                 return True
@@ -183,7 +239,7 @@ class Page:
                 self.leave("head")
             else:
                 if (name in BOXES or name in LEFT_OUT or name == "foreignobject") and not rest.endswith("/"):
-                    self.open.append((name, self.zone))
+                    self.open.append((name, self.place))
                 return True
         return False
 
@@ -196,18 +252,20 @@ class Page:
                 self.end_block()
             empty = name in ("svg", "math") and rest.endswith("/")
             if not close and not empty and (ends or name == "head"):
-                self.open.append((name, self.zone))
-                self.zone = SKIPPED
+                self.open.append((name, self.place))
+                self.place = replace(self.place, zone=SKIPPED)
         elif name == "a":
             self.link = not close
         elif name in SPACE:
             self.text.append(" ")
         elif name not in INLINE:
+            if close and name in HEADINGS:
+                self.heading()
             self.end_block()
             self.link = False
             if name in BOXES and not rest.endswith("/"):
                 self.leave(name) if close else self.enter(name, rest)
-        elif not close and rest and marked(name, rest):
+        elif not close and rest and hint_of(name, rest)[0] >= 0.5:
             # A marked inline element is a box of its own.
             self.end_block()
             self.enter(name, rest)
@@ -215,37 +273,49 @@ class Page:
             self.end_block()
             self.leave(name)
 
+    def heading(self) -> None:
+        """A heading such as `Comments` names the rest of its container."""
+        words = html.unescape("".join(self.text)).lower().split()
+        if len(words) <= 3 and self.blocks and not REMARK_HEADINGS.isdisjoint(w.strip("()0123456789:.,") for w in words):
+            self.place = replace(self.place, hint=1.0, remarks=True)
+
     def enter(self, name: str, rest: str) -> None:
-        zone = self.zone
-        if zone != OUTSIDE:
-            if marked(name, rest) or name == "header" and zone == PLAIN:
-                zone = OUTSIDE
-            elif name in INNER:
-                zone = INSIDE
-        self.open.append((name, self.zone))
-        self.zone = zone
+        """What a box changes. An article or main in a form, or in a container with a name, is inside again."""
+        now = self.place
+        share, remarks = hint_of(name, rest)
+        zone, hint, around = now.zone, max(now.hint, share), now.around
+        remarks = remarks or now.remarks
+        wrapped = zone == OUTSIDE and all(n in ("form", "fieldset") for n, _ in self.open if n in OUTER)
+        if name in INNER and (zone != OUTSIDE or wrapped) and not remarks:
+            # What the containers around are called is a fact of its own; the article's own name counts.
+            zone, hint, around = INSIDE, share, max(now.around, now.hint)
+        elif name in OUTER or name == "header" and zone == PLAIN:
+            zone = OUTSIDE
+        self.open.append((name, now))
+        self.place = Place(zone, hint, around, remarks)
 
     def leave(self, name: str) -> None:
         """Closes the last box of that name and what was left open in it; a stray end tag does nothing."""
         for at in range(len(self.open) - 1, -1, -1):
             if self.open[at][0] == name:
-                self.zone = self.open[at][1]
+                self.place = self.open[at][1]
                 del self.open[at:]
                 return
 
 
-def blocks_of(source: str) -> list[tuple[str, int, int, int]]:
-    """(text, words, linked words, zone) of each block in page order."""
+def blocks_of(source: str) -> list[tuple[str, int, int, Place]]:
+    """(text, words, linked words, place) of each block in page order."""
     tokens = list(TOKEN.finditer(source))
-    last = {t["name"].lower(): k for k, t in enumerate(tokens) if t["close"]}
+    last = {(t["name"] or t["name2"]).lower(): k for k, t in enumerate(tokens) if t["close"] or t["close2"]}
     page, at, until = Page(), 0, ""
     for number, token in enumerate(tokens):
         if not until:
             page.words(source[at : token.start()])
         at = token.end()
-        if not token["name"]:
+        found = token["name"] or token["name2"]
+        if not found:
             continue
-        name, close = token["name"].lower(), bool(token["close"])
+        name, close, rest = found.lower(), bool(token["close"] or token["close2"]), token["rest"] or token["rest2"] or ""
         ends = last.get(name, -1) > number
         if until:
             until = "" if close and name == until else until
@@ -254,7 +324,7 @@ def blocks_of(source: str) -> list[tuple[str, int, int, int]]:
             if name == "iframe" and page.zone != SKIPPED:
                 page.end_block()
         else:
-            page.tag(name, close, token["rest"], ends)
+            page.tag(name, close, rest, ends)
     page.words(source[at:])
     page.end_block()
     return page.blocks
@@ -265,8 +335,9 @@ def main_text(source: str, tree: Branch | float) -> str:
     blocks = blocks_of(source)
     sizes = [(0, 0.0), *((n, k / n) for _, n, k, _ in blocks), (0, 0.0)]
     kept = []
-    for at, (text, _, _, zone) in enumerate(blocks):
-        if grade(tree, (*sizes[at + 1], *sizes[at], *sizes[at + 2], zone)) >= 0.5:
+    for at, (text, _, _, place) in enumerate(blocks):
+        facts = (*sizes[at + 1], *sizes[at], *sizes[at + 2], place.zone, place.hint, place.around)
+        if grade(tree, facts) >= 0.5:
             kept.append(text)
     return "\n".join(kept)
 
