@@ -75,3 +75,21 @@ def test_few_rows_and_none_take_the_same_way(spark, price_frame):
         firsts = [r for r in done if r["position"] == 1]
         assert all(r["before"] is None for r in firsts)
         assert sum(r["before"] is None for r in done) == len(firsts)
+
+
+@pytest.mark.parametrize("how", ["sliced", "whole"])
+def test_lead_and_tiles_equal_plain_windows(spark, request, how):
+    if how == "sliced":
+        request.getfixturevalue("sliced")
+    rows = [(s, t, None if t % 7 == 0 else float(t * t % 11)) for s, n in (("A", 211), ("B", 3), ("C", 1)) for t in range(n)]
+    frame = spark.createDataFrame(rows, "symbol string, t int, v double").repartition(5)
+    got = ordered(frame, "symbol", ("t",)).lead({"next_v": "v", "next_t": "t"})
+    for count in (1, 4, 7):
+        got = got.tiles(count, f"fold_{count}")
+    plain = Window.partitionBy("symbol").orderBy("t")
+    want = frame.withColumns(
+        {"next_v": F.lead("v").over(plain), "next_t": F.lead("t").over(plain)}
+        | {f"fold_{n}": F.ntile(n).over(plain) for n in (1, 4, 7)}
+    )
+    found = got.drop_slices().select(*want.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) and found.count() == 215

@@ -114,6 +114,10 @@ def test_drawdown_and_stress(spark, price_frame):
     other = spark.createDataFrame([("up", "C", 0.5)], shocks.schema)
     row = portfolio.stress_test(held, prices, other).first()
     assert (row["value"], row["stressed_value"], row["unpriced"]) == (180.0, 180.0, 1)
+    # Repeated shocks add up; a scenario without a name is none.
+    twice = spark.createDataFrame([("x", "A", -0.1), ("x", "A", -0.2), (None, "A", -0.9), ("y", "A", 0.5)], shocks.schema)
+    rows = {r["scenario"]: r["stressed_value"] for r in portfolio.stress_test(held, prices, twice).collect()}
+    assert rows == {"x": 126.0, "y": 270.0}
 
 
 def test_matrix_leaves_out_times_of_unlisted_symbols(spark, monkeypatch):

@@ -7,6 +7,7 @@ from datetime import datetime
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickwell.config import ETF, MODEL_FEATURES
 from tickwell.operators import models, windows
@@ -20,7 +21,7 @@ from tickwell.streaming.returns import close_returns, return_stream
 
 def in_files(frame, path, parts, order="event_id"):
     """Time-ordered files, written one by one so that they are read in this order."""
-    bounds = [r[0] for r in frame.select(F.ntile(parts).over(windows.Window.orderBy(order)).alias("n"), order)
+    bounds = [r[0] for r in frame.select(F.ntile(parts).over(Window.orderBy(order)).alias("n"), order)
               .groupBy("n").agg(F.max(order)).orderBy("n").select(f"max({order})").collect()]
     low = -1
     for high in bounds:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickwell.operators.ordered import ordered
+
 BINS, FLOOR_SHARE = 10, 1e-4
 
 
@@ -66,8 +68,7 @@ def accuracy_by_window(
 
 def with_folds(rows: DataFrame, folds: int) -> DataFrame:
     """Equal time-ordered folds per symbol; one row per symbol and window."""
-    ordered = Window.partitionBy("symbol").orderBy("window_start")
-    return rows.withColumn("fold", F.ntile(folds).over(ordered))
+    return ordered(rows, "symbol", ("window_start",)).tiles(folds, "fold").drop_slices()
 
 
 def fold_table(rows: DataFrame, folds: int) -> DataFrame:

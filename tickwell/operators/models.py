@@ -20,10 +20,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickwell.config import GATES, MODEL_FEATURES, REGIME_NAMES, Gates
 from tickwell.operators.correlation import time_matrix
+from tickwell.operators.ordered import ordered
 from tickwell.sources.durable import broadcast_if_small
 
 # Forest and clustering settings.
@@ -48,18 +48,17 @@ def training_rows(rows: DataFrame, target: str = "same", gates: Gates = GATES) -
     found = available_features(rows, gates)
     momentum, volatility = F.col("price_momentum"), F.col("intraday_volatility")
     if target == "next":
-        after = Window.partitionBy("symbol").orderBy("window_start")
-        momentum, volatility = F.lead(momentum).over(after), F.lead(volatility).over(after)
-        following = F.lead("window_start").over(after)
+        ahead = {"_momentum": "price_momentum", "_volatility": "intraday_volatility", "_following": "window_start"}
+        rows = ordered(rows, "symbol", ("window_start",)).lead(ahead).drop_slices()
+        momentum, volatility = F.col("_momentum"), F.col("_volatility")
     labels = {
         "direction_label": (F.coalesce(momentum, F.lit(0.0)) > 0).cast("double"),
         "volatility_label": volatility,
     }
+    labelled = rows.withColumns(labels)
     if target == "next":
         # Only a symbol's last window has none after it; a next volatility may be NULL anywhere.
-        labelled = rows.withColumns(labels | {"following": following}).where("following IS NOT NULL")
-    else:
-        labelled = rows.withColumns(labels)
+        labelled = labelled.where("_following IS NOT NULL")
     sizes = rows.groupBy("symbol").agg(F.count("*").alias("rows"))
     enough = sizes.where(F.col("rows") >= gates.symbol)
     return (

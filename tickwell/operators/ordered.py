@@ -77,6 +77,36 @@ class Ordered:
         value = F.when(F.col("_at") == 1, F.col("_carry")).otherwise(F.col(out))
         return replace(self, frame=joined.withColumn(out, value).drop("_at", "_carry"))
 
+    def lead(self, columns: dict[str, str]) -> Ordered:
+        """Values on the next row of the key, `columns` by output name; NULL on its last row."""
+        last = F.row_number().over(Window.partitionBy(*self.part).orderBy(*[F.desc(c) for c in self.order]))
+        marked = self.frame.withColumns(
+            {out: F.lead(column).over(self.window) for out, column in columns.items()} | {"_left": last}
+        )
+        first = F.struct(*[F.col(c).alias(f"v{k}") for k, c in enumerate(columns.values())])
+        heads = (
+            self.frame.groupBy(*self.part)
+            .agg(F.min_by(first, F.struct(*self.order)).alias("_head"))
+            .withColumn("_carry", F.lead("_head").over(self.by_slice))
+            .drop("_head")
+        )
+        joined = marked.join(heads, self.part, "left")
+        values = {
+            out: F.when(F.col("_left") == 1, F.col(f"_carry.v{k}")).otherwise(F.col(out))
+            for k, out in enumerate(columns)
+        }
+        return replace(self, frame=joined.withColumns(values).drop("_left", "_carry"))
+
+    def tiles(self, count: int, out: str) -> Ordered:
+        """Number, from 1, of the part of a key that a row falls into: `count` parts, the first ones larger."""
+        placed = self.positions("_place", "_of")
+        small = F.expr(f"_of div {count}")
+        larger = F.expr(f"_of % {count}")
+        border = (small + 1) * larger
+        at = F.col("_place")
+        tile = F.when(at <= border, F.ceil(at / (small + 1))).otherwise(larger + F.ceil(F.try_divide(at - border, small)))
+        return replace(placed, frame=placed.frame.withColumn(out, tile.cast("int")).drop("_place", "_of"))
+
     def running_max(self, column: str, out: str) -> Ordered:
         """Largest value of `column` from the first row of the key to this one."""
         inside = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -54,18 +54,17 @@ def portfolio_value(positions: DataFrame, prices: DataFrame) -> DataFrame:
 
 def stress_test(positions: DataFrame, prices: DataFrame, shocks: DataFrame) -> DataFrame:
     """Value per account and scenario; a symbol that `shocks(scenario, symbol, shock)` leaves out
-    keeps its value, one without a price is counted.
+    keeps its value, one without a price is counted. Shocks that are listed twice add up;
+    rows without a scenario are left out.
 
-    The scenarios are one array of symbol maps, so positions are repeated once per scenario, after
-    they have been added up, and nothing is joined by symbol.
+    Positions, added up before, are repeated once per scenario name; the shocks themselves are joined.
     """
-    maps = shocks.groupBy("scenario").agg(
-        F.map_from_entries(F.collect_list(F.struct("symbol", "shock"))).alias("shocks")
-    )
-    scenarios = maps.agg(F.collect_list(F.struct("scenario", "shocks")).alias("scenarios"))
-    valued = valued_positions(positions, prices).withColumn("scenarios", scenarios.scalar())
-    shocked = valued.select("account", "symbol", "value", F.inline("scenarios"))
-    shock = F.coalesce(F.col("shocks")[F.col("symbol")], F.lit(0.0))
+    names = shocks.agg(F.array_sort(F.collect_set("scenario")).alias("names"))
+    listed = shocks.groupBy("scenario", "symbol").agg(F.sum("shock").alias("shock"))
+    valued = valued_positions(positions, prices).withColumn("names", names.scalar())
+    repeated = valued.select("account", "symbol", "value", F.explode("names").alias("scenario"))
+    shocked = repeated.join(listed, ["scenario", "symbol"], "left")
+    shock = F.coalesce(F.col("shock"), F.lit(0.0))
     stressed = total(F.col("value") * (1 + shock))
     return shocked.groupBy("scenario", "account").agg(
         F.round(total(F.col("value")), 4).alias("value"),

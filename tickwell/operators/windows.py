@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickwell.functions.features import derive_features
+from tickwell.operators.ordered import ordered
 
 
 def valid_quotes(quotes: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
@@ -70,13 +70,9 @@ def window_features(
 
 
 def next_period_target(features: DataFrame) -> DataFrame:
-    """Direction of the following window of the symbol, NULL on its last window.
-
-    A symbol has one row per window, so its partition grows with the time span covered and
-    not with the number of quotes.
-    """
-    after = Window.partitionBy("symbol").orderBy("window_start")
-    return features.withColumn("next_direction", F.lead("target_direction").over(after))
+    """Direction of the following window of the symbol, NULL on its last window."""
+    rows = ordered(features, "symbol", ("window_start",))
+    return rows.lead({"next_direction": "target_direction"}).drop_slices()
 
 
 def latest_features(features: DataFrame) -> DataFrame:
