@@ -13,8 +13,8 @@ from tickwell.operators import quality
 from tickwell.plans import ingest
 
 GOOD = {
-    "symbol": "SPY", "current_price": 100.5, "change": 1.25, "percent_change": 1.26,
-    "high": 101, "low": 99.75, "open": 100.0, "timestamp": "2024-05-06T07:08:09",
+    "symbol": "SPY", "current_price": 47.3, "change": -0.7, "percent_change": -1.46,
+    "high": 49, "low": 46.8, "open": 48.0, "timestamp": "2024-05-06T07:08:09",
     "data_source": "test",
 }
 
@@ -68,7 +68,7 @@ def test_issues(topic):
 
 def test_parse_drops_what_the_schema_does_not_fit(topic):
     rows = quality.parse_quotes(topic([GOOD, "{bad", changed(current_price="12.5")])).collect()
-    assert [r["current_price"] for r in rows] == [100.5, None, None]
+    assert [r["current_price"] for r in rows] == [47.3, None, None]
     rate = quality.parse_rate(quality.parse_quotes(topic([GOOD, "{bad"]))).first()
     assert tuple(rate) == (2, 1, 50.0)
 

@@ -18,6 +18,11 @@ from tickwell.operators.metering import metered
 from tickwell.sources.durable import cut
 
 ORDER = ("partition", "offset")
+# Fields a valid message needs; common fields at least and others at most for one
+# schema; shares of valid messages, in percent, of the two better tiers.
+LEAST_VALID_FIELDS = 3
+LEAST_COMMON, MOST_OTHERS = 3, 2
+EXCELLENT, GOOD = 90, 70
 
 
 def parse_quotes(
@@ -76,7 +81,7 @@ def check_messages(topic: DataFrame, symbols: tuple[str, ...]) -> DataFrame:
         .otherwise(F.array(F.lit(M.MALFORMED)))
         .alias("issues"),
     )
-    fine = (F.size("issues") == 0) & (F.col("valid_fields") >= 3)
+    fine = (F.size("issues") == 0) & (F.col("valid_fields") >= LEAST_VALID_FIELDS)
     verdicts = judged.withColumn("is_valid", F.coalesce(fine, F.lit(False)))
     return metered(verdicts, "check_messages", valid=F.col("is_valid"))
 
@@ -166,8 +171,8 @@ def schema_consistency(topic: DataFrame) -> DataFrame:
         .otherwise(
             F.array_compact(
                 F.array(
-                    F.when(F.col("common_fields") < 3, F.lit("too few common fields")),
-                    F.when(F.col("other_fields") > 2, F.lit("inconsistent schema")),
+                    F.when(F.col("common_fields") < LEAST_COMMON, F.lit("too few common fields")),
+                    F.when(F.col("other_fields") > MOST_OTHERS, F.lit("inconsistent schema")),
                 )
             )
         ),
@@ -206,8 +211,8 @@ def compatibility(topic: DataFrame, checks: DataFrame) -> DataFrame:
         "other_fields",
         "type_issues",
         agrees.alias("compatible"),
-        F.when((rate >= 90) & agrees, "excellent")
-        .when(rate >= 70, "good")
+        F.when((rate >= EXCELLENT) & agrees, "excellent")
+        .when(rate >= GOOD, "good")
         .otherwise("problematic")
         .alias("tier"),
     )
