@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError(f"set {DIR_SETTING} to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tickwell-"))
     return context.getCheckpointDir()
