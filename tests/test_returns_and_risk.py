@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickwell.operators.correlation import _by_gram_matrix, correlation, time_matrix
+from tickwell.operators.correlation import correlation, tiled
 from tickwell.operators.ordered import ordered
 from tickwell.operators.returns import return_statistics, returns, tracking_error
 from tickwell.operators.tail_risk import var_cvar
@@ -184,17 +184,54 @@ def test_correlation_zero_fills_and_is_null_for_a_constant(spark):
     assert len(got) == 9
 
 
-def test_gram_matrix_form_agrees(spark):
-    symbols = ["A", "B", "FLAT"]
-    rows = wide_rows(spark, symbols)
-    matrix = time_matrix(rows, "t", "returns", symbols)
-    one = {tuple(r)[:2]: r["corr"] for r in correlation(rows, "t", "returns", symbols).collect()}
-    two = {tuple(r)[:2]: r["corr"] for r in _by_gram_matrix(matrix, symbols, True, 6).collect()}
-    for pair in one:
-        if "FLAT" in pair and pair[0] != pair[1]:
-            assert one[pair] is None and two[pair] is None
-        elif "FLAT" not in pair:
-            assert two[pair] == pytest.approx(one[pair], abs=1e-6)
+def same_matrix(one, two):
+    one, two = ({tuple(r)[:2]: r["corr"] for r in m.collect()} for m in (one, two))
+    assert one.keys() == two.keys()
+    for pair, value in one.items():
+        assert two[pair] == (None if value is None else pytest.approx(value, abs=2e-6)), pair
+
+
+@pytest.mark.parametrize("ordered_pairs", [True, False])
+@pytest.mark.parametrize("tile,times", [(2, 7), (64, 8192), (1, 1000)])
+def test_tiles_give_what_expressions_give(spark, tile, times, ordered_pairs):
+    symbols = ["A", "B", "FLAT", "NONE"]
+    rows = wide_rows(spark, symbols[:3])
+    nulls = spark.createDataFrame([("A", 10_000, None), ("OTHER", 10_001, 5.0)], rows.schema)
+    rows = rows.unionByName(nulls)
+    same_matrix(
+        correlation(rows, "t", "returns", symbols, ordered_pairs),
+        tiled(rows, "t", "returns", symbols, ordered_pairs, tile=tile, times=times),
+    )
+
+
+def test_tiles_keep_the_digits_of_large_values(spark):
+    draw = random.Random(5)
+    rows = [(s, t, base + draw.random()) for s, base in (("A", 1e9), ("B", -1e9), ("C", 0.1)) for t in range(60)]
+    rows += [("FLAT", t, 0.1) for t in range(60)]
+    frame = spark.createDataFrame(rows, "symbol string, t int, returns double")
+    symbols = ["A", "B", "C", "FLAT"]
+    same_matrix(correlation(frame, "t", "returns", symbols), tiled(frame, "t", "returns", symbols, tile=3, times=11))
+
+
+def test_tiles_of_no_rows(spark):
+    frame = spark.createDataFrame([], "symbol string, t int, returns double")
+    rows = tiled(frame, "t", "returns", ["A", "B"]).collect()
+    assert len(rows) == 4 and all(r["corr"] is None for r in rows)
+
+
+def test_correlation_of_three_hundred_symbols(spark):
+    symbols = [f"S{i:03d}" for i in range(300)]
+    values = np.random.default_rng(3).normal(size=(50, 300))
+    values[:, 7] = values[:, 200] * 2 + 1
+    values[5:9, 100:180] = 0.0
+    frame = spark.createDataFrame(
+        [(symbols[j], t, float(values[t, j])) for t in range(50) for j in range(300) if values[t, j] != 0.0],
+        "symbol string, t int, returns double",
+    )
+    got = {(r["symbol_a"], r["symbol_b"]): r["corr"] for r in correlation(frame, "t", "returns", symbols).collect()}
+    want = np.corrcoef(values.T)
+    assert len(got) == 300 * 300
+    assert all(abs(got[a, b] - want[i, j]) < 1e-6 for i, a in enumerate(symbols) for j, b in enumerate(symbols))
 
 
 def test_report_document(spark, price_frame, tmp_path):
