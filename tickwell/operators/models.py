@@ -14,7 +14,6 @@ from typing import TypeVar
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
@@ -22,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickwell.config import GATES, MODEL_FEATURES, REGIME_NAMES, Gates
+from tickwell.operators.clusters import fit_clusters, nearest
 from tickwell.operators.correlation import time_matrix
 from tickwell.operators.ordered import ordered
 from tickwell.sources.durable import broadcast_if_small
@@ -201,20 +201,24 @@ def volatility_r2(rows: DataFrame, models: Models) -> DataFrame:
 
 @dataclass(frozen=True)
 class Regimes:
-    """Clusters of the momentum matrix and the name of each, by mean centroid momentum."""
+    """Centres of the momentum matrix and the name of each, by its mean momentum."""
 
-    model: KMeansModel
+    centres: tuple[tuple[float, ...], ...]
     symbols: tuple[str, ...]
     names: tuple[str, ...]
 
     def label(self, matrix: DataFrame) -> DataFrame:
-        vectors = VectorAssembler(inputCols=list(self.symbols), outputCol="features")
         names = F.array(*[F.lit(n) for n in self.names])
-        return self.model.transform(vectors.transform(matrix)).withColumn(
+        vectors = matrix.withColumn("features", vector_of(self.symbols))
+        return vectors.withColumn("prediction", nearest("features", self.centres)).withColumn(
             "regime", names[F.col("prediction")]
         )
 
 
+def vector_of(symbols: Sequence[str]):
+    return F.array(*[F.col(f"`{s}`") for s in symbols])
+
+
 def regime_names(centers: Sequence[Sequence[float]]) -> tuple[str, ...]:
     means = [sum(c) / len(c) for c in centers]
     rank = {i: r for r, i in enumerate(sorted(range(len(means)), key=means.__getitem__))}
@@ -229,19 +233,11 @@ def fit_regimes(
     matrix = time_matrix(rows, "window_start", "price_momentum", symbols)
     if present < gates.cross_symbols or matrix.limit(gates.cross_periods).count() < gates.cross_periods:
         return None
-    vectors = VectorAssembler(inputCols=list(symbols), outputCol="features").transform(matrix)
-    vectors = vectors.select("window_start", "features").persist()
-    try:
-        fitted = side_by_side(
-            lambda i: KMeans(k=CLUSTERS, seed=SEED + i).fit(vectors), range(starts)
-        )
-    finally:
-        vectors.unpersist()
-    best = min(fitted, key=lambda m: m.summary.trainingCost)
-    centers = [list(map(float, c)) for c in best.clusterCenters()]
-    if len(centers) < CLUSTERS:
-        return Regimes(best, tuple(symbols), tuple(REGIME_NAMES[: len(centers)]))
-    return Regimes(best, tuple(symbols), regime_names(centers))
+    vectors = matrix.select("window_start", vector_of(symbols).alias("features"))
+    centres = fit_clusters(vectors, "window_start", "features", CLUSTERS, starts, SEED).centres
+    if len(centres) < CLUSTERS:
+        return Regimes(centres, tuple(symbols), tuple(REGIME_NAMES[: len(centres)]))
+    return Regimes(centres, tuple(symbols), regime_names(centres))
 
 
 def regime_counts(rows: DataFrame, regimes: Regimes) -> DataFrame:

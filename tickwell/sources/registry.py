@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +13,7 @@ from tickwell.operators.models import Models, Regimes
 from tickwell.plans.learning import Trained
 
 ENTRY = "symbol string, kind string, version bigint, path string, trained_at timestamp, metrics map<string,double>, names array<string>"
+CENTRES = "regime int, centre array<double>"
 ALL_SYMBOLS = "all"
 
 
@@ -50,7 +50,8 @@ def save(
     entry("*", "anomaly", base)
     if trained.regimes is not None:
         path = f"{root}/models/market/regime/{version}"
-        trained.regimes.model.write().overwrite().save(path)
+        centres = [(i, list(c)) for i, c in enumerate(trained.regimes.centres)]
+        spark.createDataFrame(centres, CENTRES).coalesce(1).write.mode("overwrite").parquet(path)
         entries.append(("market", "regime", version, path, now, {}, list(trained.regimes.names)))
     spark.createDataFrame(entries, ENTRY).coalesce(1).write.mode("overwrite").parquet(
         f"{root}/entries/version={version}"
@@ -88,7 +89,9 @@ def load(
     regimes = None
     for row in listed:
         if row["kind"] == "regime":
-            regimes = Regimes(KMeansModel.load(row["path"]), symbols, tuple(row["names"]))
+            # One row for each regime.
+            stored = spark.read.schema(CENTRES).parquet(row["path"]).orderBy("regime").collect()
+            regimes = Regimes(tuple(tuple(r["centre"]) for r in stored), symbols, tuple(row["names"]))
     return Trained(
         features,
         spark.read.parquet(f"{base}/forests"),
