@@ -24,7 +24,7 @@ from tickwell.operators.returns import (
 from tickwell.operators.tail_risk import var_cvar
 from tickwell.plans import ingest, learning
 from tickwell.plans.risk import risk_document, risk_metrics
-from tickwell.sources import file_topic, history, reports, tables, topics
+from tickwell.sources import file_topic, history, registry, reports, tables, topics
 from tickwell.sources.durable import cut, scratch
 from tickwell.sources.tables import EVENT_UNIVERSE as U
 from tickwell.streaming import jobs, supervision
@@ -565,6 +565,25 @@ def stream_journal(spark, folder):
     )
 
 
+def model_versions(spark, folder):
+    """The trainer after each of two feature batches, and what its registry lists then.
+
+    `trained_rows` is known for the volatility models alone.
+    """
+    table = feature_table(spark, folder)
+    path, root, marks = (scratch(spark, n) for n in ("features", "registry", "marks"))
+    train = jobs.trainer(path, root, scope(), U.symbols, contest=True)
+    for number, part in enumerate((F.col("window_start") < F.lit(MIDDLE), F.col("window_start") >= F.lit(MIDDLE))):
+        table.where(part).write.parquet(jobs.batch_folder(path, number))
+        finished(jobs.follow_features(spark, path, table.schema, train, marks, None))
+    listed = registry.entries(spark, root).join(registry.versions(spark, root).drop("trained_at"), "version")
+    return listed.select(
+        "version", "parent", "symbol", "kind", "rows",
+        F.col("since").cast("timestamp_ntz").alias("since"), F.col("until").cast("timestamp_ntz").alias("until"),
+        F.when(F.col("kind") == "volatility", F.col("metrics")["rows"]).cast("bigint").alias("trained_rows"),
+    )
+
+
 # --- logs ---------------------------------------------------------------------------------
 
 
@@ -651,6 +670,7 @@ QUERIES: dict[str, Query] = {
     "stream_journal": stream_journal,
     "topic_features": topic_features,
     "topic_offsets": topic_offsets,
+    "model_versions": model_versions,
     "log_pattern_counts": log_pattern_counts,
     "log_line_classes": log_line_classes,
     "log_last_errors": log_last_errors,

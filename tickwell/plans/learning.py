@@ -25,6 +25,8 @@ class Trained:
     regimes: models.Regimes | None
     #: Figures of the training by (symbol, kind of model).
     metrics: Mapping[tuple[str, str], Mapping[str, float]] = field(default_factory=dict)
+    #: Rows of the feature table, its first and its last window.
+    coverage: tuple[int, str | None, str | None] = (0, None, None)
 
 
 def figures(scored: DataFrame, kind: str, fitted: models.Models) -> dict:
@@ -55,7 +57,9 @@ def train(
     `table` is read many times and should be stored; `rows` derived from it is kept in
     memory or on disk while the fits run.
     """
-    if table.limit(gates.batch).count() < gates.batch:
+    first, last = F.min("window_start").cast("string"), F.max("window_start").cast("string")
+    coverage = tuple(table.agg(F.count("*"), first, last).first())
+    if coverage[0] < gates.batch:
         return None
     features = models.available_features(table, gates)
     # A later volatility must not be predicted from a feature that is the target itself.
@@ -80,6 +84,7 @@ def train(
             volatility,
             models.fit_regimes(table, symbols, gates),
             metrics,
+            coverage,
         )
     finally:
         rows.unpersist()
@@ -106,6 +111,28 @@ def predict(table: DataFrame, trained: Trained) -> DataFrame:
     return said.withColumn("regime", F.lit(now and now["regime"]).cast("string"))
 
 
+def held_out_accuracy(rows: DataFrame, fitted: models.Models) -> float | None:
+    """Share of right directions over all rows held out of training; None without any."""
+    if not fitted:
+        return None
+    by_symbol = models.direction_accuracy(rows, fitted)
+    weighted = F.sum(F.col("tested") * F.col("accuracy"))
+    return by_symbol.agg(F.try_divide(weighted, F.sum("tested"))).first()[0]
+
+
+def not_worse(rows: DataFrame, challenger: Trained, champion: Trained) -> bool:
+    """Whether the challenger is right at least as often on the rows that neither was trained on.
+
+    Rows are held out by their content, so they are the same for every version. Only symbols that both
+    have a model for count; a challenger that lacks one of the champion's symbols is worse.
+    """
+    if champion.direction.keys() - challenger.direction.keys():
+        return False
+    common = {s: m for s, m in challenger.direction.items() if s in champion.direction}
+    new, old = held_out_accuracy(rows, common), held_out_accuracy(rows, champion.direction)
+    return old is None or (new is not None and new >= old)
+
+
 def cross_validate(
     table: DataFrame, scope: models.Scope, folds: int = 4, gates: Gates = GATES
 ) -> DataFrame:

@@ -812,6 +812,25 @@ FROM (SELECT count(*) AS input_rows, count(*) FILTER (late) AS late_rows, max(ev
         body="SELECT symbol, CASE WHEN ok THEN 'valid' ELSE 'rejected' END AS route, "
         "count(*) AS quotes FROM judged GROUP BY ALL",
     ),
+    "model_versions": with_(
+        features("1 hour"),
+        body="""
+, seen AS (SELECT 0::BIGINT AS version, * FROM features WHERE window_start < TIMESTAMP '2024-01-16'
+           UNION ALL SELECT 1::BIGINT, * FROM features),
+spans AS (SELECT version, count(*) AS rows, min(window_start) AS since, max(window_start) AS until,
+                 count(DISTINCT symbol) AS symbols, count(DISTINCT window_start) AS windows
+          FROM seen GROUP BY version HAVING count(*) >= 10),
+sizes AS (SELECT version, symbol, count(*) AS rows, count(DISTINCT coalesce(price_momentum, 0) > 0) AS classes
+          FROM seen GROUP BY ALL HAVING count(*) >= 5),
+models AS (
+  SELECT version, symbol, 'direction' AS kind, NULL::BIGINT AS trained_rows FROM sizes WHERE rows >= 8 AND classes = 2
+  UNION ALL SELECT version, symbol, 'volatility', rows FROM sizes WHERE rows >= 6
+  UNION ALL SELECT version, '*', 'anomaly', NULL FROM spans
+  UNION ALL SELECT version, 'market', 'regime', NULL FROM spans WHERE symbols >= 2 AND windows >= 3)
+SELECT version, CASE WHEN version > (SELECT min(version) FROM spans) THEN (SELECT min(version) FROM spans) END AS parent,
+       symbol, kind, rows, since, until, trained_rows
+FROM models JOIN spans USING (version)""",
+    ),
     "log_pattern_counts": with_(
         LINES,
         body="SELECT count(*) AS lines, count(*) FILTER (contains(line, 'ERROR')) AS errors, "

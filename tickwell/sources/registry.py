@@ -1,7 +1,8 @@
-"""Versioned models in the shared folder, with a table of what was saved."""
+"""Versioned models in the shared folder, listed in a manifest once they are complete."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from datetime import datetime
 
@@ -11,9 +12,13 @@ from pyspark.sql import functions as F
 
 from tickwell.operators.models import Models, Regimes
 from tickwell.plans.learning import Trained
+from tickwell.sources.manifest import Manifest, Version, commit, folder_exists, promote, read_manifest
+
+__all__ = ["entries", "folder_exists", "latest_version", "load", "promote", "read_manifest", "save", "versions", "write_results"]
 
 ENTRY = "symbol string, kind string, version bigint, path string, trained_at timestamp, metrics map<string,double>, names array<string>"
 CENTRES = "regime int, centre array<double>"
+VERSION = "version bigint, parent bigint, champion boolean, rows bigint, since string, until string, trained_at string"
 ALL_SYMBOLS = "all"
 
 
@@ -28,11 +33,13 @@ def save(
     version: int,
     now: datetime,
     metrics: Mapping[tuple[str, str], Mapping[str, float]] | None = None,
-) -> None:
-    """Models first, then the entry rows, so a version is listed only once it is complete.
+) -> Manifest:
+    """Models first, then the entry rows, then the manifest, so a version is listed only once it is complete.
 
-    Saving a version again replaces it. Without `metrics` the figures of the training are listed.
+    Each call has folders of its own: one that fails leaves no trace in the lists, and saving a version
+    again replaces it in one step. Without `metrics` the figures of the training are listed.
     """
+    attempt = f"{version}-{uuid.uuid4().hex[:12]}"
     listed = trained.metrics if metrics is None else metrics
     entries = []
 
@@ -41,46 +48,56 @@ def save(
 
     for kind, fitted in (("direction", trained.direction), ("volatility", trained.volatility)):
         for symbol, model in fitted.items():
-            path = f"{root}/models/{_folder(symbol)}/{kind}/{version}"
+            path = f"{root}/models/{_folder(symbol)}/{kind}/{attempt}"
             model.write().overwrite().save(path)
             entry(symbol, kind, path)
-    base = f"{root}/models/{ALL_SYMBOLS}/anomaly/{version}"
+    base = f"{root}/models/{ALL_SYMBOLS}/anomaly/{attempt}"
     trained.forests.write.mode("overwrite").parquet(f"{base}/forests")
     trained.limits.write.mode("overwrite").parquet(f"{base}/limits")
     entry("*", "anomaly", base)
     if trained.regimes is not None:
-        path = f"{root}/models/market/regime/{version}"
+        path = f"{root}/models/market/regime/{attempt}"
         centres = [(i, list(c)) for i, c in enumerate(trained.regimes.centres)]
         spark.createDataFrame(centres, CENTRES).coalesce(1).write.mode("overwrite").parquet(path)
         entries.append(("market", "regime", version, path, now, {}, list(trained.regimes.names)))
-    spark.createDataFrame(entries, ENTRY).coalesce(1).write.mode("overwrite").parquet(
-        f"{root}/entries/version={version}"
-    )
+    path = f"{root}/entries/{attempt}"
+    spark.createDataFrame(entries, ENTRY).coalesce(1).write.parquet(path)
+    made = Version(version, path, now.isoformat(), *trained.coverage)
+    return commit(spark, root, lambda manifest: manifest.with_version(made))
 
 
 def entries(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(ENTRY).parquet(f"{root}/entries")
+    """One row for each model of each listed version."""
+    paths = [v.entries for v in read_manifest(spark, root).versions]
+    return spark.read.schema(ENTRY).parquet(*paths) if paths else spark.createDataFrame([], ENTRY)
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each listed version: where it comes from and what it was trained on."""
+    manifest = read_manifest(spark, root)
+    rows = [
+        (v.version, v.parent, v.version == manifest.champion, v.rows, v.since, v.until, v.trained_at)
+        for v in manifest.versions
+    ]
+    return spark.createDataFrame(rows, VERSION)
 
 
 def latest_version(spark: SparkSession, root: str) -> int | None:
     """The newest version, or none while nothing has been trained."""
-    if not folder_exists(spark, f"{root}/entries"):
-        return None
-    return entries(spark, root).agg(F.max("version")).first()[0]
+    return read_manifest(spark, root).newest()
 
 
 def load(
     spark: SparkSession, root: str, features: list[str], symbols: tuple[str, ...], version: int | None = None
 ) -> Trained:
-    if version is None:
-        version = latest_version(spark, root)
+    """The models of a version, the newest one unless told."""
+    manifest = read_manifest(spark, root)
+    wanted = manifest.newest() if version is None else version
+    path = next((v.entries for v in manifest.versions if v.version == wanted), None)
+    if path is None:
+        raise ValueError(f"no version {wanted} in {root}")
     # One row per saved model of one version.
-    listed = entries(spark, root).where(F.col("version") == version).collect()
+    listed = spark.read.schema(ENTRY).parquet(path).collect()
 
     def models(kind: str) -> Models:
         return {r["symbol"]: PipelineModel.load(r["path"]) for r in listed if r["kind"] == kind}

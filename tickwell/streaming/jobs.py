@@ -107,9 +107,13 @@ def follow_features(
 
 
 def trainer(
-    path: str, root: str, scope: models.Scope, symbols: tuple[str, ...], target: str = "same"
+    path: str, root: str, scope: models.Scope, symbols: tuple[str, ...], target: str = "same",
+    contest: bool = False,
 ) -> Callable[[DataFrame, int], None]:
-    """Refit on the whole feature table; the batch number is the model version."""
+    """Refit on the whole feature table; the batch number is the model version.
+
+    With `contest` the new version is held against the champion and takes its place unless it is worse.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -118,21 +122,29 @@ def trainer(
         table = spark.read.parquet(path).drop("batch_id")
         trained = learning.train(table, scope, symbols, target)
         if trained is not None:
-            registry.save(spark, trained, root, batch_id, datetime.now())
+            manifest = registry.save(spark, trained, root, batch_id, datetime.now())
+            if contest and manifest.champion != batch_id:
+                champion = registry.load(spark, root, trained.features, symbols, manifest.champion)
+                if learning.not_worse(models.training_rows(table, target), trained, champion):
+                    registry.promote(spark, root, batch_id, instead_of=manifest.champion)
 
     return run
 
 
 def scorer(
-    path: str, root: str, features: list[str], symbols: tuple[str, ...]
+    path: str, root: str, features: list[str], symbols: tuple[str, ...], champion: bool = False
 ) -> Callable[[DataFrame, int], None]:
-    """Score the newest row of each symbol with the newest saved models."""
+    """Score the newest row of each symbol with the newest saved models, or with the champion."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if batch.isEmpty() or registry.latest_version(spark, root) is None:
+        if batch.isEmpty():
+            return
+        manifest = registry.read_manifest(spark, root)
+        version = manifest.champion if champion else manifest.newest()
+        if version is None:
             return
-        trained = registry.load(spark, root, features, symbols)
+        trained = registry.load(spark, root, features, symbols, version)
         table = spark.read.parquet(path).drop("batch_id")
         scored = learning.predict(table, trained)
         count = len(trained.direction) + len(trained.volatility) + 1
